@@ -18,12 +18,15 @@ SEGMENT_SECONDS = 7 * 86400
 def with_previous(rows: DataFrame, keys: list[str], order: str, at_seconds: Column, carry: list[str]) -> DataFrame:
     """Add ``position`` (1 for the first row of a series) and ``previous_<c>`` for each carried column.
 
-    *order* is unique within a series and agrees with *at_seconds*.
-    *rows* is read twice: pass a stored table, or a plan that starts with an
-    exchange both readers can share.
+    *order* is unique within a series and agrees with *at_seconds*.  Rows
+    without a key or a time belong to no series and are left out.
+    *rows* is read twice: pass a stored table, or a plan that ends in an
+    exchange of the columns used, which both readers then share.
     """
     part = [*keys, "_segment"]
     rows = rows.withColumn("_segment", F.floor(at_seconds / F.lit(SEGMENT_SECONDS)))
+    # The join below would add this filter to one reader only, and so stop the sharing.
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in part))
 
     inside = Window.partitionBy(*part).orderBy(order)
     local = rows.select(
