@@ -60,3 +60,9 @@ def test_empty_input_keeps_schema(spark):
 def test_weekdays(spark):
     days = spark.createDataFrame([(at(f"2024-01-{d}T23:59:59"),) for d in range(15, 22)], "t timestamp")
     assert cleaning.weekdays_only(days, "t").count() == 5
+
+
+def test_time_order(spark):
+    rows = [(at(f"2024-01-16T10:00:{s:02d}"), 1.0, 1.0, 0.0, 0.0, sym, s) for s in (5, 1, 3) for sym in "BA"]
+    got = cleaning.in_time_order(spark.createDataFrame(rows, TICKS)).collect()
+    assert [(r.symbol, r.seq) for r in got] == [("A", 1), ("A", 3), ("A", 5), ("B", 1), ("B", 3), ("B", 5)]

@@ -96,7 +96,9 @@ def test_coverage_adds_up(spark):
 def test_ticks_are_scanned_once(spark, sf_dir):
     from checks import adapters
 
-    df = gaps.detect_gaps(adapters.ticks(spark, sf_dir), "1h")
-    df.collect()
-    assert "ReusedExchange" in plan(df)
-    assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
+    ticks = adapters.ticks(spark, sf_dir)
+    for df in (gaps.detect_gaps(ticks, "1h"), gaps.coverage(ticks, "1h")):
+        df.collect()
+        final = plan(df).split("Initial Plan")[0]
+        assert final.count("FileScan") == 1 and "ReusedExchange" in final
+        assert "CartesianProduct" not in final and "NestedLoop" not in final

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickbars.functions import columns as C
 from tickbars.functions.sessions import is_weekday
-from tickbars.schemas import SOURCE_TICKS, require_columns
+from tickbars.schemas import SOURCE_TICKS, require_columns, series_keys
 
 TICK_IDENTITY = ("timestamp_utc", "symbol", "price")
 
@@ -59,6 +59,15 @@ def weekdays_only(df: DataFrame, column: str) -> DataFrame:
     return df.where(is_weekday(F.col(column)))
 
 
+def in_time_order(df: DataFrame) -> DataFrame:
+    """Rows by series and time, for a result that is shown or exported.
+
+    The transforms themselves promise no order; sort once, at the end.
+    """
+    time = next(c for c in ("timestamp_utc", "bar_time", "gap_start") if c in df.columns)
+    return df.orderBy(*series_keys(df), time, *[c for c in ("seq",) if c in df.columns])
+
+
 def clean_ticks(raw: DataFrame, subset=TICK_IDENTITY) -> DataFrame:
     """The whole cleaning chain: UTC, mid price, one row for each tick."""
     require_columns(raw, SOURCE_TICKS.names, "clean_ticks")

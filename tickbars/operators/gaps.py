@@ -37,7 +37,13 @@ def present_buckets(df: DataFrame, freq: str, timestamp_col: str | None = None,
     """
     column = timestamp_column(df, timestamp_col)
     bucket = _on_grid(F.unix_seconds(F.col(column).cast("timestamp")), timeframe_seconds(freq), origin)
-    return with_known_time(df, column).select(*series_keys(df), bucket.alias("bucket")).distinct()
+    known = with_known_time(df, column)
+    for key in series_keys(df):
+        known = known.where(F.col(key).isNotNull())
+    # Rows without a time are gone, so coalesce() only tells the optimizer that
+    # no bucket is NULL.  All readers of the distinct buckets then have one
+    # plan, and share one scan.
+    return known.select(*series_keys(df), F.coalesce(bucket, F.lit(0)).alias("bucket")).distinct()
 
 
 def holes(present: DataFrame, freq: str) -> DataFrame:

@@ -24,9 +24,11 @@ def with_previous(rows: DataFrame, keys: list[str], order: str, at_seconds: Colu
     exchange of the columns used, which both readers then share.
     """
     part = [*keys, "_segment"]
-    rows = rows.withColumn("_segment", F.floor(at_seconds / F.lit(SEGMENT_SECONDS)))
-    # The join below would add this filter to one reader only, and so stop the sharing.
-    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in part))
+    rows = rows.where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, order]))
+    # coalesce() only tells the optimizer that no segment is NULL: the join below
+    # would else add that filter to one reader, and so stop the sharing.
+    segment = F.coalesce(F.floor(at_seconds / F.lit(SEGMENT_SECONDS)), F.lit(0))
+    rows = rows.withColumn("_segment", segment)
 
     inside = Window.partitionBy(*part).orderBy(order)
     local = rows.select(

@@ -114,9 +114,9 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
     def bars():
         path = scratch_path(spark, "run-bars")
         resample(work["clean"], timeframe).write.parquet(path)
-        if not ingested.get["rows"]:
-            raise ValueError(f"no ticks between {start} and {end}")
         work["bars"] = spark.read.parquet(path)
+        if work["bars"].isEmpty():
+            raise ValueError(f"no ticks between {start} and {end}")
         log.counts["ticks_ingested"] = ingested.get["rows"]
         log.counts["ticks_clean"] = cleaned.get["rows"]
         path = scratch_path(spark, "run-candles")

@@ -8,6 +8,8 @@ watermark are dropped and counted by Spark; a batch run of the day repairs it.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -16,7 +18,10 @@ from tickbars.functions.timeframes import timeframe_seconds
 from tickbars.operators.bars import resample
 from tickbars.operators.cleaning import TICK_IDENTITY, derive_price
 from tickbars.operators.gaps import LONG_STEP, classify_gaps, runs_in_holes
+from tickbars.operators.ledger import ledger_rows, recover_ledger, upsert_candles
 from tickbars.schemas import CANDLES, TICKS, with_fields
+from tickbars.session import stored
+from tickbars.sources.bronze import merge_into_archive
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -134,6 +139,47 @@ def gap_stream(bars: DataFrame, timeframe: str) -> DataFrame:
     return classify_gaps(runs_in_holes(found, timeframe))
 
 
+def write_open_bars(bars: DataFrame, ledger_path: str, checkpoint: str, timeframe: str, clock=time.time):
+    """Keep the ledger current with bars that are still forming.
+
+    In update mode a bar leaves every time it changes; the merge by key corrects
+    the row.  ATR needs closed bars, so it comes from :func:`atr_stream` or a
+    batch run, and the merge never clears it.
+    """
+    recover_ledger(bars.sparkSession, ledger_path)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = stored(ledger_rows(batch, timeframe), "open-bars")
+        upsert_candles(batch.sparkSession, ledger_path, rows, int(clock() * 1000))
+
+    return (
+        bars.writeStream.foreachBatch(apply)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def write_archive(ticks: DataFrame, path: str, checkpoint: str):
+    """Merge arriving ticks into the day archive; a partial day never replaces a full one."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        merge_into_archive(batch.sparkSession, stored(batch, "archive-batch"), path)
+
+    return (
+        ticks.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def late_rows(query) -> int:
+    """Rows a query dropped because they came after the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def write_stream(stream: DataFrame, path: str, checkpoint: str):
     """Append a stream to Parquet, processing what has arrived and stopping."""
     return (
