@@ -37,8 +37,8 @@ def test_failure_skips_the_rest_and_reports(spark, sf_dir, tmp_path):
     nothing = adapters.ticks(spark, sf_dir).where(F.lit(False))
     got = run(spark, tmp_path, nothing)
     assert got.result == "FAIL"
-    assert [s.status for s in got.stages] == ["ok", "ok", "fail", "skipped", "skipped"]
-    assert "no ticks" in got.stages[2].detail
+    assert [s.status for s in got.stages] == ["fail", "skipped", "skipped", "skipped", "skipped"]
+    assert "no ticks" in got.stages[0].detail
 
 
 def test_parameters_are_checked_first(spark, sf_dir, tmp_path):

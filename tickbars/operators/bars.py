@@ -25,12 +25,13 @@ def as_frame(source, spark: SparkSession | None = None) -> DataFrame:
     raise TypeError(f"expected a DataFrame or a path to Parquet, got {type(source).__name__}")
 
 
-def resample(source, timeframe: str = "5min", spark: SparkSession | None = None) -> DataFrame:
+def resample(source, timeframe: str = "5min", spark: SparkSession | None = None, counts: bool = False) -> DataFrame:
     """Clean ticks to one candle for each symbol and non-empty bucket.
 
     ``bar_time`` is the left edge.  Open and close follow time, then ``seq``;
     ticks without a price still add their volume.  One shuffle, carrying at
-    most one row for each map task, symbol and bucket.
+    most one row for each map task, symbol and bucket.  *counts* adds
+    ``ticks``, ``first_tick`` and ``last_tick``.
     """
     ticks = as_frame(source, spark)
     require_columns(ticks, ["timestamp_utc", "price", "bid_volume", "ask_volume"], "resample")
@@ -39,6 +40,12 @@ def resample(source, timeframe: str = "5min", spark: SparkSession | None = None)
     price = F.nanvl(F.col("price"), F.lit(None))
     # An order key that is NULL keeps a row out of min_by and max_by.
     order = F.when(price.isNotNull(), C.order_key(F.col("timestamp_utc"), seq))
+    counted = [
+        F.count(F.lit(1)).alias("ticks"),
+        F.min("timestamp_utc").alias("first_tick"),
+        F.max("timestamp_utc").alias("last_tick"),
+    ]
+    more = ["ticks", "first_tick", "last_tick"] if counts else []
     return (
         ticks.groupBy(*keys, F.window("timestamp_utc", **window_args(timeframe)).alias("bucket"))
         .agg(
@@ -47,8 +54,9 @@ def resample(source, timeframe: str = "5min", spark: SparkSession | None = None)
             F.min(price).alias("bar_low"),
             F.max_by(price, order).alias("bar_close"),
             F.sum(F.col("bid_volume") + F.col("ask_volume")).alias("bar_volume"),
+            *(counted if counts else []),
         )
-        .select(*keys, F.col("bucket.start").alias("bar_time"), *CANDLE_VALUES)
+        .select(*keys, F.col("bucket.start").alias("bar_time"), *CANDLE_VALUES, *more)
     )
 
 

@@ -1,7 +1,8 @@
 """A whole run over a set of symbols: archive, clean, bars, gaps, ledger, report.
 
-Large data is scanned once and lands in tables; counts ride along with the
-writes as observations instead of taking jobs of their own.
+Large data is scanned once and lands in tables.  The counts of the report come
+from those tables - Parquet footers and the small bar table - so they stay
+right when lost executors make tasks run twice.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.functions.timeframes import check_timeframe_name, date_range, timeframe_seconds
@@ -79,11 +80,6 @@ def result(stages: Column) -> Column:
     return F.when(F.exists(stages, lambda s: s["status"] == "fail"), "FAIL").otherwise("PASS")
 
 
-def _tick_counts() -> list[Column]:
-    at = F.col("timestamp_utc")
-    return [F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last")]
-
-
 def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, archive_path: str, ledger_path: str,
              timeframe: str = "5min", period: int = 14, now_ms: int | None = None, dry_run: bool = False) -> DataFrame:
     """Raw ticks of inclusive days to archive, candles and ledger; returns the report.
@@ -95,38 +91,38 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     log = RunLog({"timeframe": timeframe, "mode": "backfill", "start": start, "end": end, "dry_run": dry_run})
     work: dict[str, DataFrame] = {}
-    ingested, cleaned, made = Observation(), Observation(), Observation()
 
     def archive():
         raw = in_days(ticks, start, end)
         if dry_run:
             work["ticks"] = drop_repeated_rows(raw)
-            return "ok", "archive not written (dry run)"
-        archive_days(raw, archive_path)
-        work["ticks"] = read_archive(spark, archive_path, start, end)
-        return "ok", f"days {start} to {end}"
+        else:
+            archive_days(raw, archive_path)
+            work["ticks"] = read_archive(spark, archive_path, start, end)
+            log.counts["archive_days"] = archived_days(spark, archive_path, start, end).count()
+        rows = work["ticks"].count()
+        if not rows:
+            raise ValueError(f"no ticks between {start} and {end}")
+        log.counts["ticks_ingested"] = rows
+        log.counts["archive_rows"] = 0 if dry_run else rows
+        return "ok", "archive not written (dry run)" if dry_run else f"{rows} ticks archived"
 
     def clean():
-        seen = work["ticks"].observe(ingested, *_tick_counts())
-        work["clean"] = clean_ticks(seen).observe(cleaned, *_tick_counts())
+        work["clean"] = clean_ticks(work["ticks"])
         return "ok", "runs with the bars"
 
     def bars():
         path = scratch_path(spark, "run-bars")
-        resample(work["clean"], timeframe).write.parquet(path)
-        work["bars"] = spark.read.parquet(path)
-        if work["bars"].isEmpty():
-            raise ValueError(f"no ticks between {start} and {end}")
-        log.counts["ticks_ingested"] = ingested.get["rows"]
-        log.counts["ticks_clean"] = cleaned.get["rows"]
+        resample(work["clean"], timeframe, counts=True).write.parquet(path)
+        written = spark.read.parquet(path)
+        span = written.agg(F.sum("ticks").alias("ticks"), F.min("first_tick").alias("a"), F.max("last_tick").alias("b")).first()
+        log.counts["ticks_clean"] = span["ticks"]
+        work["bars"] = written.drop("ticks", "first_tick", "last_tick")
         path = scratch_path(spark, "run-candles")
-        compute_atr(work["bars"], period).observe(made, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        compute_atr(work["bars"], period).write.parquet(path)
         work["candles"] = spark.read.parquet(path)
-        log.counts["candles_produced"] = made.get["rows"]
-        if not dry_run:
-            log.counts["archive_rows"] = ingested.get["rows"]
-            log.counts["archive_days"] = archived_days(spark, archive_path, start, end).count()
-        return "ok", f"{made.get['rows']} {timeframe} candles from {ingested.get['first']} to {ingested.get['last']}"
+        log.counts["candles_produced"] = work["candles"].count()
+        return "ok", f"{log.counts['candles_produced']} {timeframe} candles from {span['a']} to {span['b']}"
 
     def gaps():
         labelled = classify_gaps(detect_gaps(work["bars"], timeframe, "bar_time"))

@@ -23,11 +23,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", app: str = "tickbars", memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(cores: int | str = "*", app: str = "tickbars", memory: str = "8g", **more: str) -> SparkSession:
+    """A single-machine session for tests and the bench; *more* are settings with ``__`` for dots."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     builder = builder.config("spark.driver.memory", memory).config("spark.ui.enabled", "false")
     builder = builder.config("spark.sql.shuffle.partitions", "8").config("spark.ui.showConsoleProgress", "false")
+    for key, value in more.items():
+        builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())
 
 
