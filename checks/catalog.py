@@ -19,6 +19,7 @@ from tickbars.functions import sessions as S
 from tickbars.operators import bars as B
 from tickbars.operators import cleaning, gaps, indicators, ledger
 from tickbars.plans.market_run import backfill
+from tickbars.plans.market_run import live as live_run
 from tickbars.session import configure, scratch_path, stored
 from tickbars.sources import barfeed, bronze, tickfiles
 from tickbars.streaming import live
@@ -685,6 +686,28 @@ def _(spark, sf_dir):
     return report.drop("elapsed_s", "stages")
 
 
+@query(
+    "live_report",
+    f"""WITH {CLEAN_SQL},{A.bars_sql('1 hour')}, four AS (SELECT DISTINCT symbol, time_bucket(INTERVAL '4 hours', bar_time) AS bar_time FROM bars),
+    kept AS (SELECT * FROM four WHERE bar_time >= (SELECT min(bar_time) FROM bars b WHERE b.symbol = four.symbol)),
+    {A.gaps_sql(14400, 'kept', 'bar_time')}, labelled AS (SELECT *, {EXPECTED_SQL} AS expected FROM gaps),
+    prices AS (SELECT symbol, bar_time, unnest([bar_open, bar_high, bar_low, bar_close]) AS price, unnest([0, 1, 2, 3]) AS seq FROM bars)
+    SELECT '4h' AS timeframe, 'live' AS mode, (SELECT strftime(min(bar_time), '%Y-%m-%d') FROM bars) AS start,
+      (SELECT strftime(max(bar_time), '%Y-%m-%d') FROM bars) AS end, false AS dry_run,
+      (SELECT count(*) FROM prices) AS ticks_ingested, (SELECT count(*) FROM prices) AS ticks_clean,
+      CAST(0 AS BIGINT) AS archive_days, CAST(0 AS BIGINT) AS archive_rows, (SELECT count(*) FROM kept) AS candles_produced,
+      (SELECT count(*) FROM labelled) AS gaps_found, (SELECT count(*) FROM labelled WHERE expected) AS gaps_expected,
+      (SELECT count(*) FROM labelled WHERE NOT expected) AS gaps_real, (SELECT count(*) FROM kept) AS ledger_rows,
+      'OK' AS reconcile, 'PASS' AS result""",
+)
+def _(spark, sf_dir):
+    report = live_run(
+        spark, landing.documents(hourly(spark, sf_dir)), ledger_path=scratch_path(spark, "live-run-ledger"),
+        fetch_interval="1h", timeframe="4h", now_ms=FIRST_WRITE,
+    )
+    return report.drop("elapsed_s", "stages")
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 DELAY_MINUTES = 10

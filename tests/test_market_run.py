@@ -1,9 +1,12 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import adapters
+from helpers import at
 from tickbars.operators import ledger
-from tickbars.plans.market_run import STAGES, backfill
+from tickbars.plans.market_run import STAGES, backfill, live
 
 
 def run(spark, tmp_path, ticks, **options):
@@ -37,8 +40,8 @@ def test_failure_skips_the_rest_and_reports(spark, sf_dir, tmp_path):
     nothing = adapters.ticks(spark, sf_dir).where(F.lit(False))
     got = run(spark, tmp_path, nothing)
     assert got.result == "FAIL"
-    assert [s.status for s in got.stages] == ["fail", "skipped", "skipped", "skipped", "skipped"]
-    assert "no ticks" in got.stages[0].detail
+    assert [s.status for s in got.stages] == ["ok", "fail", "skipped", "skipped", "skipped", "skipped"]
+    assert "no ticks" in got.stages[1].detail
 
 
 def test_parameters_are_checked_first(spark, sf_dir, tmp_path):
@@ -46,3 +49,26 @@ def test_parameters_are_checked_first(spark, sf_dir, tmp_path):
     for start, end, timeframe in (("2024-01-03", None, "1h"), ("x", "y", "1h"), ("2024-01-03", "2024-01-04", "1 H"), ("2024-01-03", "2024-01-04", "1x")):
         with pytest.raises(ValueError):
             backfill(spark, ticks, start, end, timeframe=timeframe, archive_path="a", ledger_path="b")
+
+
+def documents(spark, *closes):
+    values = [{"datetime": f"2024-01-17 10:{i:02d}:00", "open": str(c), "high": "99", "low": "0", "close": str(c)} for i, c in closes]
+    rows = [("XAUUSD", json.dumps({"values": values}), at("2024-01-17T10:30:00"))]
+    return spark.createDataFrame(rows, "symbol string, body string, delivered_at timestamp")
+
+
+def test_live_run(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    got = live(spark, documents(spark, *[(i, 10.0 + i) for i in range(3, 20)]), ledger_path=path, now_ms=5).first()
+    assert (got.mode, got.start, got.end, got.result, got.reconcile) == ("live", "2024-01-17", "2024-01-17", "PASS", "OK")
+    assert (got.ticks_ingested, got.candles_produced, got.ledger_rows, got.archive_rows) == (68, 3, 3, 0)
+    assert [s.status for s in got.stages] == ["ok", "skipped", "ok", "ok", "ok", "ok"]
+    bars = ledger.latest_candles(ledger.read_ledger(spark, path), "XAUUSD", "5min").collect()
+    assert [(b.bar_open, b.bar_close) for b in bars] == [(15.0, 19.0), (20.0, 24.0), (25.0, 29.0)]
+
+
+def test_live_run_without_bars_fails(spark, tmp_path):
+    got = live(spark, documents(spark), ledger_path=str(tmp_path / "ledger")).first()
+    assert got.result == "FAIL" and [s.status for s in got.stages] == ["fail"] + ["skipped"] * 5
+    with pytest.raises(ValueError):
+        live(spark, documents(spark), ledger_path="x", fetch_interval="2min", timeframe="5min")

@@ -69,13 +69,13 @@ def runs_in_holes(found: DataFrame, freq: str, origin: int = 0) -> DataFrame:
     first, last = F.col("last_seen") + F.lit(step), F.col("resumed") - F.lit(step)
 
     if step <= LONG_STEP:
-        week_of = lambda s: F.floor((s - F.lit(MONDAY)) / F.lit(WEEK))
+        weeks = F.sequence(*[F.floor((edge - F.lit(MONDAY)) / F.lit(WEEK)) for edge in (first, last)])
         monday = F.col("week") * F.lit(WEEK) + F.lit(MONDAY)
         opening = _on_grid(monday + F.lit(step - 1), step, origin)
         closing = _on_grid(monday + F.lit(5 * DAY - 1), step, origin)
         runs = found.select(
             *keys, first.alias("first"), last.alias("last"),
-            F.explode(F.sequence(week_of(first), week_of(last))).alias("week"),
+            F.explode(weeks).alias("week"),
         ).select(*keys, F.greatest("first", opening).alias("first"), F.least("last", closing).alias("last"))
         runs = runs.where("first <= last")
     else:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -12,6 +11,7 @@ from pyspark.sql.types import StringType
 from tickbars.functions import columns as C
 from tickbars.functions.timeframes import check_symbol, check_timeframe_name, clamp_limit
 from tickbars.schemas import CANDLE_VALUES, LEDGER, LEDGER_KEY, require_columns, series_keys, with_fields
+from tickbars.session import read_or_empty
 
 PARTITIONS = ["symbol", "timeframe", "bar_month"]
 READ_SCHEMA = with_fields(LEDGER, bar_month=StringType())
@@ -102,12 +102,7 @@ def create_ledger(spark: SparkSession, path: str) -> None:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger at *path*; empty when nothing has been written yet."""
-    try:
-        return spark.read.schema(READ_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], READ_SCHEMA)
+    return read_or_empty(spark, READ_SCHEMA, path)
 
 
 def _stage_path(path: str) -> str:
@@ -131,13 +126,9 @@ def recover_ledger(spark: SparkSession, path: str) -> None:
     Call after a driver was lost during :func:`upsert_candles`.  The stage holds
     the newest state of its months, so repeating it changes nothing else.
     """
-    try:
-        staged = spark.read.schema(READ_SCHEMA).parquet(_stage_path(path))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return
-    _apply(staged, path)
+    staged = read_or_empty(spark, READ_SCHEMA, _stage_path(path))
+    if not staged.isEmpty():
+        _apply(staged, path)
 
 
 def upsert_candles(spark: SparkSession, path: str, updates: DataFrame, now_ms: int) -> Upserted:

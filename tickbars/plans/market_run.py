@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.functions.timeframes import check_timeframe_name, date_range, timeframe_seconds
+from tickbars.functions.timeframes import check_divides, check_timeframe_name, date_range, timeframe_seconds
 from tickbars.operators.bars import resample
 from tickbars.operators.cleaning import clean_ticks, drop_repeated_rows
 from tickbars.operators.gaps import classify_gaps, detect_gaps
@@ -21,8 +21,9 @@ from tickbars.operators.indicators import compute_atr
 from tickbars.operators.ledger import ledger_rows, upsert_candles
 from tickbars.session import scratch_path
 from tickbars.sources.bronze import archive_days, archived_days, in_days, read_archive
+from tickbars.streaming.live import live_ticks, trim_leading_partial
 
-STAGES = ["archive", "clean", "bars", "gaps", "ledger"]
+STAGES = ["source", "archive", "clean", "bars", "gaps", "ledger"]
 
 REPORT = (
     "timeframe STRING, mode STRING, start STRING, end STRING, dry_run BOOLEAN, ticks_ingested BIGINT, "
@@ -80,32 +81,8 @@ def result(stages: Column) -> Column:
     return F.when(F.exists(stages, lambda s: s["status"] == "fail"), "FAIL").otherwise("PASS")
 
 
-def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, archive_path: str, ledger_path: str,
-             timeframe: str = "5min", period: int = 14, now_ms: int | None = None, dry_run: bool = False) -> DataFrame:
-    """Raw ticks of inclusive days to archive, candles and ledger; returns the report.
-
-    A dry run computes everything and writes neither archive nor ledger.
-    """
-    start, end = date_range("backfill", start, end)
-    timeframe_seconds(check_timeframe_name(timeframe))
-    now_ms = int(time.time() * 1000) if now_ms is None else now_ms
-    log = RunLog({"timeframe": timeframe, "mode": "backfill", "start": start, "end": end, "dry_run": dry_run})
-    work: dict[str, DataFrame] = {}
-
-    def archive():
-        raw = in_days(ticks, start, end)
-        if dry_run:
-            work["ticks"] = drop_repeated_rows(raw)
-        else:
-            archive_days(raw, archive_path)
-            work["ticks"] = read_archive(spark, archive_path, start, end)
-            log.counts["archive_days"] = archived_days(spark, archive_path, start, end).count()
-        rows = work["ticks"].count()
-        if not rows:
-            raise ValueError(f"no ticks between {start} and {end}")
-        log.counts["ticks_ingested"] = rows
-        log.counts["archive_rows"] = 0 if dry_run else rows
-        return "ok", "archive not written (dry run)" if dry_run else f"{rows} ticks archived"
+def _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry_run, keep=lambda candles: candles):
+    """The stages every run shares.  They read ``work["ticks"]``; *keep* may drop candles."""
 
     def clean():
         work["clean"] = clean_ticks(work["ticks"])
@@ -117,7 +94,7 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
         written = spark.read.parquet(path)
         span = written.agg(F.sum("ticks").alias("ticks"), F.min("first_tick").alias("a"), F.max("last_tick").alias("b")).first()
         log.counts["ticks_clean"] = span["ticks"]
-        work["bars"] = written.drop("ticks", "first_tick", "last_tick")
+        work["bars"] = keep(written.drop("ticks", "first_tick", "last_tick"))
         path = scratch_path(spark, "run-candles")
         compute_atr(work["bars"], period).write.parquet(path)
         work["candles"] = spark.read.parquet(path)
@@ -125,7 +102,7 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
         return "ok", f"{log.counts['candles_produced']} {timeframe} candles from {span['a']} to {span['b']}"
 
     def gaps():
-        labelled = classify_gaps(detect_gaps(work["bars"], timeframe, "bar_time"))
+        labelled = classify_gaps(detect_gaps(work["candles"], timeframe, "bar_time"))
         found = labelled.agg(F.count(F.lit(1)).alias("n"), F.count_if("expected").alias("expected")).first()
         log.counts["gaps_found"], log.counts["gaps_expected"] = found["n"], found["expected"]
         log.counts["gaps_real"] = found["n"] - found["expected"]
@@ -138,6 +115,75 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
         log.counts["ledger_rows"] = written.rows
         return "ok", f"{written.inserted} inserted, {written.updated} updated"
 
-    for name, stage in zip(STAGES, [archive, clean, bars, gaps, ledger]):
+    return [clean, bars, gaps, ledger]
+
+
+def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, archive_path: str, ledger_path: str,
+             timeframe: str = "5min", period: int = 14, now_ms: int | None = None, dry_run: bool = False) -> DataFrame:
+    """Raw ticks of inclusive days to archive, candles and ledger; returns the report.
+
+    A dry run computes everything and writes neither archive nor ledger.
+    """
+    start, end = date_range("backfill", start, end)
+    timeframe_seconds(check_timeframe_name(timeframe))
+    now_ms = int(time.time() * 1000) if now_ms is None else now_ms
+    log = RunLog({"timeframe": timeframe, "mode": "backfill", "start": start, "end": end, "dry_run": dry_run})
+    work: dict[str, DataFrame] = {}
+
+    def source():
+        work["ticks"] = drop_repeated_rows(in_days(ticks, start, end))
+        return "ok", f"days {start} to {end}"
+
+    def archive():
+        if not dry_run:
+            archive_days(in_days(ticks, start, end), archive_path)
+            work["ticks"] = read_archive(spark, archive_path, start, end)
+            log.counts["archive_days"] = archived_days(spark, archive_path, start, end).count()
+        rows = work["ticks"].count()
+        if not rows:
+            raise ValueError(f"no ticks between {start} and {end}")
+        log.counts["ticks_ingested"] = rows
+        if dry_run:
+            return "skipped", "archive not written (dry run)"
+        log.counts["archive_rows"] = rows
+        return "ok", f"{rows} ticks"
+
+    shared = _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry_run)
+    for name, stage in zip(STAGES, [source, archive, *shared]):
+        log.run(name, stage)
+    return log.frame(spark)
+
+
+def live(spark: SparkSession, documents: DataFrame, *, ledger_path: str, fetch_interval: str = "1min",
+         timeframe: str = "5min", period: int = 14, now_ms: int | None = None, dry_run: bool = False,
+         trim: bool = True) -> DataFrame:
+    """Feed documents to candles and ledger; returns the report.
+
+    The days of the report are those of the bars delivered.  Nothing is
+    archived: ``streaming.ticks.write_archive`` adds part of a day safely.
+    """
+    check_divides(fetch_interval, check_timeframe_name(timeframe))
+    now_ms = int(time.time() * 1000) if now_ms is None else now_ms
+    log = RunLog({"timeframe": timeframe, "mode": "live", "start": "", "end": "", "dry_run": dry_run})
+    work: dict[str, DataFrame] = {}
+
+    def source():
+        work["ticks"] = live_ticks(documents)
+        day = F.to_date("timestamp_utc").cast("string")
+        span = work["ticks"].agg(F.count(F.lit(1)).alias("n"), F.min(day).alias("a"), F.max(day).alias("b")).first()
+        if not span["n"]:
+            raise ValueError("the feed delivered no bars")
+        log.counts["ticks_ingested"] = span["n"]
+        log.header.update(start=span["a"], end=span["b"])
+        return "ok", f"{span['n']} ticks from {fetch_interval} bars"
+
+    def archive():
+        return "skipped", "part of a day would replace the whole day"
+
+    def keep(candles):
+        return trim_leading_partial(candles, work["ticks"]) if trim else candles
+
+    shared = _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry_run, keep)
+    for name, stage in zip(STAGES, [source, archive, *shared]):
         log.run(name, stage)
     return log.frame(spark)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Timestamps are instants; calendar functions and naive strings are read as UTC.
 SETTINGS = {
@@ -50,6 +52,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tickbars/{label}-{uuid.uuid4().hex}"
 
 
+def read_or_empty(spark: SparkSession, schema: StructType, path: str, **options: str) -> DataFrame:
+    """The Parquet table at *path*; an empty frame when nothing has been written there."""
+    try:
+        return spark.read.schema(schema).options(**options).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """Write *df* once to the shared folder and read it back.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, TimestampType
@@ -12,33 +11,22 @@ from pyspark.sql.types import DateType, IntegerType, TimestampType
 from tickbars.functions.sessions import is_weekday
 from tickbars.operators.cleaning import drop_repeated_rows
 from tickbars.schemas import SOURCE_TICKS, TICKS, with_fields
+from tickbars.session import read_or_empty
 
 # Fixed value: an hour file's name.  The compacted file beside it must not be read with it.
 HOUR_FILE = "[0-9][0-9]_[0-9][0-9].parquet"
 
 
-def days_between(start: str, end: str) -> list[dt.date]:
-    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
-
-
 def read_hour_files(spark: SparkSession, root: str, symbol: str, start: str, end: str) -> DataFrame:
     """Ticks of inclusive days from ``<root>/<SYMBOL>/year=/month=/DD_HH.parquet``, repeats dropped.
 
-    Only the months of the range are listed.  No files give an empty frame.
+    Only the months of the range are opened.  No files give an empty frame.
     """
-    months = sorted({(d.year, d.month) for d in days_between(start, end)})
-    ticks = spark.createDataFrame([], SOURCE_TICKS)
-    for year, month in months:
-        folder = f"{root}/{symbol}/year={year}/month={month:02d}"
-        try:
-            part = spark.read.schema(SOURCE_TICKS).option("pathGlobFilter", HOUR_FILE).parquet(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        ticks = ticks.unionByName(part.select(*SOURCE_TICKS.names))
-    return drop_repeated_rows(in_days(ticks, start, end))
+    schema = with_fields(SOURCE_TICKS, year=IntegerType(), month=IntegerType())
+    files = read_or_empty(spark, schema, f"{root}/{symbol}", pathGlobFilter=HOUR_FILE)
+    first, last = (int(day[:7].replace("-", "")) for day in (start, end))
+    months = files.where((F.col("year") * 100 + F.col("month")).between(first, last))
+    return drop_repeated_rows(in_days(months.select(*SOURCE_TICKS.names), start, end))
 
 
 def in_days(ticks: DataFrame, start: str, end: str, column: str = "timestamp_utc") -> DataFrame:
@@ -89,7 +77,10 @@ def hour_manifest(ranges: DataFrame, landed_before: DataFrame, decoded: DataFram
 
 def download_summary(manifest: DataFrame) -> DataFrame:
     """Per symbol: ticks saved, files written, hours skipped and resumed."""
-    hours = lambda status: F.count_if(F.col("status") == status)
+
+    def hours(status: str) -> Column:
+        return F.count_if(F.col("status") == status)
+
     return manifest.groupBy("symbol").agg(
         F.sum("ticks").alias("ticks_saved"),
         hours("written").alias("files_written"),
@@ -164,12 +155,7 @@ def read_months(spark: SparkSession, path: str) -> DataFrame:
 
 def _archive(spark: SparkSession, path: str, start: str | None, end: str | None) -> DataFrame:
     fields = with_fields(TICKS, year=IntegerType(), month=IntegerType(), day=IntegerType())
-    try:
-        ticks = spark.read.schema(fields).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        ticks = spark.createDataFrame([], fields)
+    ticks = read_or_empty(spark, fields, path)
     date = F.make_date("year", "month", "day")
     return ticks.where(date.between(start, end)) if start and end else ticks
 

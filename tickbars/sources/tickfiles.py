@@ -40,8 +40,8 @@ def symbol_of_path(path: Column) -> Column:
 
 def hour_of_path(path: Column) -> Column:
     """Start of the hour a file covers, as a UTC instant."""
-    part = lambda i: F.regexp_extract(path, PATH_PATTERN, i).cast("int")
-    return F.make_timestamp(part(2), part(3) + 1, part(4), part(5), F.lit(0), F.lit(0), F.lit("UTC"))
+    year, month, day, hour = [F.regexp_extract(path, PATH_PATTERN, i).cast("int") for i in range(2, 6)]
+    return F.make_timestamp(year, month + 1, day, hour, F.lit(0), F.lit(0), F.lit("UTC"))
 
 
 def _decoder(record, rows_per_batch=100_000):

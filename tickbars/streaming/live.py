@@ -39,11 +39,16 @@ def trim_leading_partial(candles: DataFrame, ticks: DataFrame) -> DataFrame:
     return candles.join(first, "symbol").where("bar_time >= _first").drop("_first")
 
 
+def live_ticks(documents: DataFrame) -> DataFrame:
+    """The newest revision of every delivered bar, as ticks."""
+    return bars_to_ticks(stored(latest_revision(feed_bars(documents)), "live-bars"))
+
+
 def live_candles(documents: DataFrame, fetch_interval: str, timeframe: str, period: int = 14,
                  trim: bool = True) -> DataFrame:
     """Feed documents to candles with ATR, through the same chain as history."""
     check_divides(fetch_interval, timeframe)
-    ticks = bars_to_ticks(stored(latest_revision(feed_bars(documents)), "live-bars"))
+    ticks = live_ticks(documents)
     candles = resample(clean_ticks(ticks), timeframe)
     if trim:
         candles = trim_leading_partial(candles, ticks)
