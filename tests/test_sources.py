@@ -104,6 +104,22 @@ def test_compaction_sorts_and_keeps_distinct_ticks(spark, tmp_path):
         assert times == sorted(times)
 
 
+def test_hot_day_is_split_over_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        hot = spark.range(0, 100_000, 1, 16).select(
+            F.timestamp_millis(F.lit(1_705_449_600_000) + F.col("id") * 800).alias("timestamp_utc"),
+            F.rand(1).alias("ask"), F.rand(2).alias("bid"), F.rand(3).alias("ask_volume"), F.rand(4).alias("bid_volume"),
+            F.lit("X").alias("symbol"), F.col("id").alias("seq"),
+        )
+        bronze.land_hours(hot, str(tmp_path / "raw"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list((tmp_path / "raw" / "symbol=X" / "date=2024-01-17").glob("*.parquet"))
+    assert len(files) > 4
+    assert bronze.read_landed(spark, str(tmp_path / "raw")).count() == 100_000
+
+
 def test_landing_appends(spark, tmp_path):
     path = str(tmp_path / "raw")
     bronze.land_hours(raw_ticks(spark, ("2024-01-17T10:30:00", 1.0, "X", 0)), path)

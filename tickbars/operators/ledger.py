@@ -111,7 +111,7 @@ def _stage_path(path: str) -> str:
 
 def _apply(staged: DataFrame, path: str) -> None:
     (
-        staged.repartition(*PARTITIONS)
+        staged.hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "bar_time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -94,12 +94,15 @@ def _day(ts: Column) -> Column:
 
 
 def _sorted_write(ticks: DataFrame, path: str, partitions: list[str], mode: str) -> None:
-    # Ranges over (symbol, time, seq) keep neighbours together and split a
-    # symbol or day of any size over as many files as it needs.
-    order = ["symbol", "timestamp_utc", *(["seq"] if "seq" in ticks.columns else [])]
+    # Whole days go to a task and are sorted there.  Adaptive execution splits a
+    # day that is too large over several tasks and files, and merges small ones.
+    # Unlike range partitioning this needs no sampling pass over the data.
+    order = ["timestamp_utc", "seq"]
     (
-        ticks.repartitionByRange(*order)
+        ticks.withColumn("_day", _day(F.col("timestamp_utc")))
+        .hint("rebalance", "symbol", "_day")
         .sortWithinPartitions(*partitions, *order)
+        .drop("_day")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
