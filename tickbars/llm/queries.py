@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm import exact, mix, quality, splitters
+from tickbars.llm import bpe, ctw, exact, mix, near, quality, records, splitters
+from tickbars.session import scratch_path
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public vocabulary of this name lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.dedup(documents(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(documents(spark, sf_dir))
 
@@ -30,14 +42,32 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(documents(spark, sf_dir))
+
+
+def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "records")
+    files = records.write(documents(spark, sf_dir), folder, vocabulary())
+    return records.summaries(spark, folder, files)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir), vocabulary())
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mix": op3_mix,
     "op4_shard": op4_shard,
+    "op5_ctw": op5_ctw,
+    "op6_records": op6_records,
+    "op7_bpe": op7_bpe,
     "op8_quality": op8_quality,
 }
 
