@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm import bpe, ctw, exact, mix, near, quality, records, splitters
+from tickbars.llm import bpe, ctw, exact, mix, near, quality, records, splitters, suffix
 from tickbars.session import scratch_path
 
 
@@ -60,6 +60,14 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    return suffix.remove(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_records": op6_records,
     "op7_bpe": op7_bpe,
     "op8_quality": op8_quality,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {}
