@@ -269,24 +269,25 @@ def file_content(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """*docs* with the token ids of *text* as an array column; the file at *path* is read by the driver."""
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", keep_text: bool = False) -> DataFrame:
+    """*docs* with the token ids of *text* as an array column, in place of the text unless *keep_text*.
+
+    The tokenizer file at *path* is read by the driver.
+    """
     content = docs.sparkSession.sparkContext.broadcast(file_content(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder = loaded(content.value)
         for batch in batches:
-            column = batch.schema.get_field_index("_text")
-            data, offsets = words.text_bytes(batch.column(column))
-            rest = batch.drop_columns(["_text"])
+            data, offsets = words.text_bytes(batch.columns[-1])  # the text comes last
             for at, to, found, edges in encoder.texts(data, offsets):
                 lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(found.astype(np.int32)))
-                part = rest.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids])
+                rest = [c.slice(at, to - at) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*rest, lists], names=[*batch.schema.names[:-1], ids])
 
-    own = docs.select(*[c for c in docs.columns if c != ids])
+    own = docs.select(*[c for c in docs.columns if c != ids and (keep_text or c != text)])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return own.select(*own.columns, docs[text].alias("_text")).mapInArrow(work, f"{schema}, `{ids}` array<int>")
+    return docs.select(*own.columns, F.col(text).alias("_text")).mapInArrow(work, f"{schema}, `{ids}` array<int>")
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickbars.llm.rows import text_key
 from tickbars.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -111,10 +112,11 @@ def apportion(rows: DataFrame, group: list[str], key: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED) -> DataFrame:
-    """A row per document: size, source_size, target, taken."""
+    """A row per document: doc_id, size, source_size, target, taken, text_key."""
     sizes = stored(
         docs.select(
-            F.col(doc_id).alias("doc_id"), _source_key(F.col(source)).alias("key"), n_words(F.col(text)).alias("size")
+            F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("text_key"),
+            _source_key(F.col(source)).alias("key"), n_words(F.col(text)).alias("size"),
         ),
         "sizes",
     )
@@ -164,11 +166,22 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     return joined.select(
         "doc_id", "size", "source_size", "target",
         (passes * F.col("size") + F.when(rest > 0, chosen).otherwise(0)).cast("long").alias("taken"),
+        "text_key",
     )
 
 
 def keep(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The documents that the mix takes words of, once each, with the columns of *docs*."""
-    taken = mix(docs, doc_id, source, text).where("taken > 0").select(F.col("doc_id").alias("_taken_id")).distinct()
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("_id"))
-    return whole.join(taken, F.col("_id").eqNullSafe(F.col("_taken_id")), "left_semi").select("_row.*")
+    """The mix as documents, with the columns of *docs*: one row for each time that the mix takes the document.
+
+    A document cut by the edge of a block is in if at least half of it is.
+    """
+    copies = mix(docs, doc_id, source, text).select(
+        F.col("doc_id").alias("_taken_id"), F.col("text_key").alias("_taken_key"),
+        F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int").alias("_n"),
+    ).groupBy("_taken_id", "_taken_key").agg(F.sum("_n").cast("int").alias("_copies")).where("_copies > 0")
+    whole = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("_id"), text_key(F.col(text)).alias("_key")
+    )
+    same = (F.col("_key") == F.col("_taken_key")) & F.col("_id").eqNullSafe(F.col("_taken_id"))
+    once = whole.join(copies, same).dropDuplicates(["_id", "_key"])
+    return once.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm import bpe, ctw, exact, mix, near, quality, records, splitters, suffix
+from tickbars.llm import bpe, ctw, exact, license, mix, near, quality, records, splitters, suffix
 from tickbars.session import scratch_path
 
 
@@ -60,6 +60,21 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source, language and ranges of ids are directories; one that begins with a
+    licence line is a licence file of its thousand."""
+    docs = documents(spark, sf_dir)
+    number = F.col("doc_id")
+    thousand = F.concat_ws(
+        "/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.floor(number / 1000)
+    )
+    begins = F.substring_index("text", "\n", 1).rlike(r"(?i)\blicen[sc]ed?\b")
+    below = F.when(begins, F.concat(F.lit("LICENSE."), number)).otherwise(
+        F.concat(F.floor(number / 100), F.lit("/"), number, F.lit(".txt"))
+    )
+    return license.scan(docs.select("doc_id", F.concat(thousand, F.lit("/"), below).alias("path"), "text"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
     return suffix.remove(documents(spark, sf_dir)).select(
@@ -77,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_records": op6_records,
     "op7_bpe": op7_bpe,
     "op8_quality": op8_quality,
+    "op9_license": op9_license,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

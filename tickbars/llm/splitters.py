@@ -166,11 +166,11 @@ def shard(
     before = Window.partitionBy("_shard").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_shard", "_lane", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     placed = docs.select(
-        *own, high.alias("_high"), low.alias("_low"),
+        F.struct(*own).alias("_own"), high.alias("_high"), low.alias("_low"),
     ).withColumn("_shard", part_of(F.col("_high"), F.col("_low"), cuts)).withColumn(
         "_lane", lane(F.col("_high"), F.col("_low"))
     )
     order = Window.partitionBy("_shard", "_lane").orderBy("_high", "_low")
     return placed.withColumn("_at", F.row_number().over(order)).join(starts, ["_shard", "_lane"]).select(
-        *own, F.col("_shard").alias("shard"), (F.col("_start") + F.col("_at") - 1).cast("long").alias("slot")
+        "_own.*", F.col("_shard").alias("shard"), (F.col("_start") + F.col("_at") - 1).cast("long").alias("slot")
     )
