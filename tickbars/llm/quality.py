@@ -213,4 +213,6 @@ def keep(docs: DataFrame, text: str = "text") -> DataFrame:
     slim = docs.select(F.col(text).alias("text"))
     model = fit(stored(vote_table(measure(slim)), "votes"))
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("text"))
-    return judge(measure(whole), model).where("kept").select("_row.*")
+    # the row number keeps the filter above the measures: moved below, it would repeat them inside each other
+    judged = judge(measure(whole), model).select("_row", "kept", F.monotonically_increasing_id().alias("_at"))
+    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")

@@ -32,7 +32,7 @@ HALF = 1 << 63
 PROBES = 32
 SHARDS = 24
 TOLERANCE = 0.002
-LANE_BYTES = 256 << 20
+LANE_BYTES = 32 << 20
 
 Key = tuple[int, int]
 
