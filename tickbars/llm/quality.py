@@ -39,6 +39,7 @@ STOP_WORDS = (
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_lines", "n_stop_words", "n_lettered"]
+RULES = ["length", "symbols", "lines", "repeats", "word_length", "stop_words", "letters"]
 
 
 def _words(text: Column) -> Column:
@@ -120,8 +121,6 @@ def votes() -> dict[str, Column]:
     }
 
 
-RULES = list(votes())
-
 
 @dataclass(frozen=True)
 class Model:
