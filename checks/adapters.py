@@ -72,7 +72,7 @@ def ticks_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.0).alias("ask_volume"),
         F.col("l_quantity").alias("bid_volume"),
         F.concat("l_returnflag", "l_linestatus").alias("symbol"),
-        ((F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000) % 1000000).alias("seq"),
+        (F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000).alias("seq"),
     ).select(*TICKS.names)
 
 
@@ -94,7 +94,7 @@ SHIPMENTS_SQL = """
 ticks_shipments AS (
   SELECT make_timestamp((epoch_ms(l_shipdate) + (l_orderkey * 7 + l_linenumber) % 86400 * 1000 + l_partkey % 1000) * 1000) AS timestamp_utc,
          l_extendedprice + 0.5 AS ask, l_extendedprice AS bid, CAST(0 AS DOUBLE) AS ask_volume, l_quantity AS bid_volume,
-         l_returnflag || l_linestatus AS symbol, (l_partkey * 1000 + l_suppkey % 1000) % 1000000 AS seq
+         l_returnflag || l_linestatus AS symbol, l_partkey * 1000 + l_suppkey % 1000 AS seq
   FROM lineitem)"""
 
 
@@ -110,7 +110,7 @@ clean AS (
 
 def bars_sql(width: str, source: str = "clean", name: str = "bars") -> str:
     """CTE of candles; *width* is an interval such as ``5 minutes``."""
-    key = "epoch_ms(timestamp_utc) * 1000000 + seq % 1000000"
+    key = "row(timestamp_utc, seq)"
     return f"""
 {name} AS (
   SELECT symbol, time_bucket(INTERVAL '{width}', timestamp_utc) AS bar_time,

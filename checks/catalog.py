@@ -248,7 +248,7 @@ def _(spark, sf_dir):
 @query(
     "latest_price",
     f"""WITH {CLEAN_SQL} SELECT symbol, epoch_ms(max(timestamp_utc)) AS timestamp_utc,
-      round(arg_max(price, epoch_ms(timestamp_utc) * 1000000 + seq % 1000000), 6) AS price, 'ticks' AS source FROM clean GROUP BY symbol""",
+      round(arg_max(price, row(timestamp_utc, seq)), 6) AS price, 'ticks' AS source FROM clean GROUP BY symbol""",
 )
 def _(spark, sf_dir):
     return B.latest_price(clean(spark, sf_dir))
@@ -283,7 +283,7 @@ _atr_query("atr_14", 14, HOURLY_SQL, hourly)
 _atr_query("atr_1", 1, HOURLY_SQL, hourly)
 _atr_query("atr_3", 3, HOURLY_SQL, hourly)
 _atr_query("atr_short_series", 40, CLEAN_SQL + "," + A.bars_sql("1 day"), _daily)
-_atr_query("atr_shipments", 21, SHIPMENTS_SQL + "," + A.bars_sql("1 day"), _shipments_daily, places=3)
+_atr_query("atr_shipments", 21, SHIPMENTS_SQL + "," + A.bars_sql("1 day"), _shipments_daily)
 
 CHANGE_SQL = """, newest AS (SELECT symbol, bar_time, bar_close, row_number() OVER w AS nth, lead(bar_close) OVER w AS prev
   FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY bar_time DESC))

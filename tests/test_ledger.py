@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -76,17 +78,47 @@ def test_numeric_looking_symbols_stay_text(spark, tmp_path):
     assert ledger.read_ledger(spark, path).first().symbol == "007"
 
 
-def test_lost_driver_is_recovered(spark, tmp_path):
+def lose_driver(monkeypatch, at):
+    """Let the next write of a table fail: before its rows, after them, or with a manifest that is not committed."""
+    from pyspark.sql import DataFrameWriter
+
+    real = DataFrameWriter.parquet
+
+    def parquet(writer, path, *args, **options):
+        is_manifest = "_manifests" in path
+        if at == "rows" and not is_manifest:
+            raise KeyboardInterrupt
+        if at != "rows" and is_manifest:
+            if at == "commit":
+                real(writer, path, *args, **options)
+                os.remove(os.path.join(path, "_SUCCESS"))
+            raise KeyboardInterrupt
+        return real(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+
+
+@pytest.mark.parametrize("at", ["rows", "manifest", "commit"])
+def test_lost_driver_loses_no_row(spark, tmp_path, monkeypatch, at):
     path = str(tmp_path / "ledger")
-    ledger.upsert_candles(spark, path, rows(spark, (0, 1.0, 0.1), (1, 2.0, 0.2)), 100)
+    ledger.upsert_candles(spark, path, rows(spark, (0, 1.0, 0.1), (1, 2.0, 0.2), (2, 3.0, 0.3)), 100)
     want = state(ledger.read_ledger(spark, path))
-    # The driver died between staging and replacing: the month is gone, the stage complete.
-    for part in (tmp_path / "ledger").rglob("*.parquet"):
-        part.unlink()
-    assert state(ledger.read_ledger(spark, path)) == {}
-    ledger.recover_ledger(spark, path)
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        lose_driver(patch, at)
+        ledger.upsert_candles(spark, path, rows(spark, (1, 9.0, None)), 200)
     assert state(ledger.read_ledger(spark, path)) == want
-    ledger.recover_ledger(spark, str(tmp_path / "nothing-here"))
+    got = ledger.upsert_candles(spark, path, rows(spark, (1, 9.0, None)), 300)  # no call in between
+    assert (got.inserted, got.updated) == (0, 1)
+    table = ledger.read_ledger(spark, path)
+    assert table.count() == 3 and table.where("bar_close = 9.0 AND atr = 0.2").count() == 1
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    for now in range(6):
+        ledger.upsert_candles(spark, path, rows(spark, (0, float(now), None)), now)
+    assert len(list((tmp_path / "ledger").glob("version=*"))) == 2
+    assert len([p for p in (tmp_path / "ledger" / "_manifests").iterdir() if p.is_dir()]) == 2
 
 
 def test_one_candle_twice_fails(spark, tmp_path):

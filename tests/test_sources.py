@@ -88,7 +88,7 @@ def test_day_is_replaced_or_extended(spark, tmp_path):
     part = raw_ticks(spark, ("2024-01-17T12:00:00", 3.0, "X", 0), ("2024-01-17T11:00:00", 2.0, "X", 5), ("2024-01-19T12:00:00", 4.0, "X", 0))
     bronze.merge_into_archive(spark, part, path)  # merging part of a day keeps the rest
     assert days() == [("X", 17, 2.0), ("X", 17, 3.0), ("X", 18, 1.0), ("X", 19, 4.0), ("Y", 17, 1.0)]
-    assert (tmp_path / "archive" / "symbol=X" / "year=2024" / "month=01" / "day=17").is_dir()
+    assert list((tmp_path / "archive").glob("version=*/symbol=X/year=2024/month=01/day=17"))
     assert bronze.archived_days(spark, path, "2024-01-18", "2024-01-19").count() == 2
     text = plan(bronze.read_archive(spark, path, "2024-01-18", "2024-01-18"))
     assert "make_date" in text.split("PartitionFilters: [")[1].split("]")[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ VOLUME_SCALE = 1_000_000.0
 # Feed names of the metals quoted there.
 FEED_SYMBOLS = {"XAUUSD": "XAU/USD", "XAGUSD": "XAG/USD", "XAUEUR": "XAU/EUR", "XAGEUR": "XAG/EUR"}
 
-SEQ_SPAN = 1_000_000
+# Larger than any position a BIGINT can hold.
+SEQ_SPAN = Decimal(10**19)
 
 
 def utc(value: Column) -> Column:
@@ -30,10 +33,6 @@ def utc(value: Column) -> Column:
     return value.cast("timestamp")
 
 
-def to_millisecond(ts: Column) -> Column:
-    return F.date_trunc("MILLISECOND", ts)
-
-
 def mid_price(bid: Column, ask: Column) -> Column:
     return (bid + ask) / F.lit(2.0)
 
@@ -44,12 +43,13 @@ def finite(value: Column) -> Column:
 
 
 def order_key(ts: Column, seq: Column) -> Column:
-    """Time, then position in the delivery, packed in one BIGINT.
+    """Time to the microsecond, then position in the delivery (NULL counts as 0), in one number.
 
     A fixed-width key keeps ``min_by``/``max_by`` in a hash aggregate with
     map-side partials; a struct key would force a sort aggregate.
     """
-    return F.unix_millis(ts) * F.lit(SEQ_SPAN) + F.pmod(seq, F.lit(SEQ_SPAN))
+    micros = F.unix_micros(ts).cast("decimal(18,0)") * F.lit(SEQ_SPAN)
+    return (micros + F.coalesce(seq, F.lit(0)).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def point_divisor(symbol: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickbars.functions.sessions import DAY, SATURDAY, expected_gap, weekday_of_seconds
 from tickbars.functions.timeframes import timeframe_seconds
 from tickbars.operators.cleaning import with_known_time
-from tickbars.operators.segments import with_previous
+from tickbars.operators.segments import known_keys, with_previous
 from tickbars.schemas import require_columns, series_keys
 
 WEEK = 7 * DAY
@@ -38,8 +38,6 @@ def present_buckets(df: DataFrame, freq: str, timestamp_col: str | None = None,
     column = timestamp_column(df, timestamp_col)
     bucket = _on_grid(F.unix_seconds(F.col(column).cast("timestamp")), timeframe_seconds(freq), origin)
     known = with_known_time(df, column)
-    for key in series_keys(df):
-        known = known.where(F.col(key).isNotNull())
     # Rows without a time are gone, so coalesce() only tells the optimizer that
     # no bucket is NULL.  All readers of the distinct buckets then have one
     # plan, and share one scan.
@@ -124,18 +122,21 @@ def coverage(df: DataFrame, freq: str = "1min", timestamp_col: str | None = None
     keys = series_keys(df)
     on_weekday = F.count_if(weekday_of_seconds(F.col("bucket")) < SATURDAY)
     seen = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("present"), on_weekday.alias("weekday_present"))
+    length = F.unix_seconds("gap_end") - F.unix_seconds("gap_start")
     lost = (
         runs_in_holes(holes(present, freq), freq, origin)
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("gaps"), F.sum("duration_minutes").alias("gap_minutes"))
+        .agg(F.count(F.lit(1)).alias("gaps"), F.sum(length).alias("gap_seconds"))
     )
-    missing = F.coalesce((F.col("gap_minutes") * 60 / step).cast("long"), F.lit(0).cast("long"))
-    joined = seen.join(lost, keys, "left") if keys else seen.join(lost)
+    missing = F.coalesce(F.expr(f"gap_seconds div {step}"), F.lit(0).cast("long"))
+    both = [x.withColumns(known_keys(keys)) for x in (seen, lost)]
+    private = list(known_keys(keys))
+    joined = both[0].join(both[1].drop(*keys), private, "left") if keys else seen.crossJoin(lost)  # one row each
     return joined.select(
         *keys,
         "present",
         (F.col("weekday_present") + missing).alias("expected"),
         missing.alias("missing"),
         F.coalesce("gaps", F.lit(0).cast("long")).alias("gaps"),
-        F.coalesce("gap_minutes", F.lit(0.0)).alias("gap_minutes"),
+        (F.coalesce("gap_seconds", F.lit(0)) / 60.0).alias("gap_minutes"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars.functions import columns as C
-from tickbars.operators.segments import with_previous
+from tickbars.operators.segments import known_keys, with_previous
 from tickbars.schemas import require_columns, series_keys
 
 # exp(-745) is the last power of e a double can hold above zero.
@@ -19,20 +19,25 @@ def true_range(candles: DataFrame, col: str = "true_range") -> DataFrame:
     """Add the true range and the candle's ``position`` in its series.
 
     The first candle of a series has no previous close, so its range is high - low.
+    A candle without prices (all its ticks had none) has neither range nor
+    position, and the next one is measured against the last close there is.
     """
     require_columns(candles, ["bar_time", "bar_high", "bar_low", "bar_close"], "true_range")
+    priced = F.coalesce(~F.isnan(F.col("bar_high") + F.col("bar_low") + F.col("bar_close")), F.lit(False))
+    empty = candles.where(~priced).withColumn("position", F.lit(None).cast("long"))
     rows = with_previous(
-        candles, series_keys(candles), "bar_time", F.unix_seconds(F.col("bar_time")), ["bar_close"]
+        candles.where(priced), series_keys(candles), "bar_time", F.unix_seconds(F.col("bar_time")), ["bar_close"]
     )
     high, low, last = F.col("bar_high"), F.col("bar_low"), F.col("previous_bar_close")
     # greatest() skips NULL, which is what the first candle needs.
-    return rows.withColumn(col, F.greatest(high - low, F.abs(high - last), F.abs(low - last))).drop(
-        "previous_bar_close"
-    )
+    ranged = rows.withColumn(col, F.greatest(high - low, F.abs(high - last), F.abs(low - last)))
+    return ranged.drop("previous_bar_close").unionByName(empty.withColumn(col, F.lit(None).cast("double")))
 
 
 def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr") -> DataFrame:
-    """Add Wilder's average true range; NULL for the first ``period - 1`` candles.
+    """Add Wilder's average true range; NULL for the first ``period - 1`` candles with prices.
+
+    A candle without prices has no average and leaves the recurrence as it is.
 
     The recurrence ``y = a * y' + TR / n`` with ``a = (n - 1) / n``, started from
     the mean of the first n ranges, is the weighted sum
@@ -55,6 +60,9 @@ def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr") -> DataF
     if period == 1:
         return rows.select(*columns, F.col("_tr").alias(col))
 
+    empty = rows.where(F.col("position").isNull()).select(*columns, F.lit(None).cast("double").alias(col))
+    rows = rows.where(F.col("position").isNotNull()).withColumns(known_keys(keys))
+    keys = list(known_keys(keys))
     decay = (period - 1) / period
     length = max(256, 64 * period)
     reach = math.ceil(_UNDERFLOW / (length * -math.log(decay)))
@@ -62,6 +70,7 @@ def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr") -> DataF
     step = F.greatest(F.col("position") - period, F.lit(0))
     rows = rows.select(
         *columns,
+        *keys,
         "position",
         (F.col("_tr") / period).alias("_share"),
         F.floor(step / length).alias("_block"),
@@ -89,7 +98,7 @@ def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr") -> DataF
     value = F.col("_local") + F.pow(F.lit(decay), F.col("_power") + 1) * F.col("_handed")
     return local.join(handed, [*keys, "_block"]).select(
         *columns, F.when(F.col("position") >= period, value).alias(col)
-    )
+    ).unionByName(empty)
 
 
 def price_change(candles: DataFrame) -> DataFrame:

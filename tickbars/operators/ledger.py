@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tickbars.functions import columns as C
-from tickbars.functions.timeframes import check_symbol, check_timeframe_name, clamp_limit
+from tickbars.functions.timeframes import DEFAULT_LIMIT, check_symbol, check_timeframe_name, clamp_limit
 from tickbars.schemas import CANDLE_VALUES, LEDGER, LEDGER_KEY, require_columns, series_keys, with_fields
-from tickbars.session import read_or_empty
+from tickbars.session import require_utc
+from tickbars.sources.versions import VersionedTable
 
 PARTITIONS = ["symbol", "timeframe", "bar_month"]
 READ_SCHEMA = with_fields(LEDGER, bar_month=StringType())
+LISTED_SYMBOLS = 1000
 CANDLE_PAGE = ["bar_time", *CANDLE_VALUES, "atr"]
 
 
@@ -95,73 +97,55 @@ def bar_month(bar_time_ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(bar_time_ms), "yyyy-MM")
 
 
-def create_ledger(spark: SparkSession, path: str) -> None:
-    """Make an empty ledger at *path* unless there is one."""
-    spark.createDataFrame([], READ_SCHEMA).write.mode("ignore").partitionBy(*PARTITIONS).parquet(path)
+def ledger_table(path: str) -> VersionedTable:
+    return VersionedTable(path.rstrip("/"), READ_SCHEMA, tuple(PARTITIONS))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger at *path*; empty when nothing has been written yet."""
-    return read_or_empty(spark, READ_SCHEMA, path)
+    return ledger_table(path).read(spark)
 
 
-def _stage_path(path: str) -> str:
-    return path.rstrip("/") + "__staged"
+def _touched(current: DataFrame, updates: DataFrame) -> DataFrame:
+    """The rows of *current* in the partitions of *updates*.
 
-
-def _apply(staged: DataFrame, path: str) -> None:
-    (
-        staged.hint("rebalance", *PARTITIONS)
-        .sortWithinPartitions(*PARTITIONS, "bar_time")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
-
-
-def recover_ledger(spark: SparkSession, path: str) -> None:
-    """Put the last staged months in place again.
-
-    Call after a driver was lost during :func:`upsert_candles`.  The stage holds
-    the newest state of its months, so repeating it changes nothing else.
+    Literal filters skip whole directories: the months and timeframes between
+    the outermost ones, and the symbols themselves while they can be listed.
     """
-    staged = read_or_empty(spark, READ_SCHEMA, _stage_path(path))
-    if not staged.isEmpty():
-        _apply(staged, path)
+    parts = updates.select(*PARTITIONS).distinct()
+    edges = parts.agg(
+        *[F.min(c).alias(f"low_{c}") for c in PARTITIONS], *[F.max(c).alias(f"high_{c}") for c in PARTITIONS]
+    ).first()
+    for c in PARTITIONS:
+        current = current.where(F.col(c).between(edges[f"low_{c}"], edges[f"high_{c}"]))
+    symbols = [r.symbol for r in parts.select("symbol").distinct().limit(LISTED_SYMBOLS + 1).collect()]
+    if len(symbols) <= LISTED_SYMBOLS:  # only pruning: the join below decides
+        current = current.where(F.col("symbol").isin(symbols))
+    return current.join(parts, PARTITIONS, "left_semi")
 
 
 def upsert_candles(spark: SparkSession, path: str, updates: DataFrame, now_ms: int) -> Upserted:
     """Merge ledger rows into the table at *path*; returns the rows inserted and updated.
 
-    Only the months the update touches are read and rewritten.  They are staged
-    beside the table first, so the table is never read and replaced in one
-    plan, and a lost driver loses nothing.  One writer at a time.
-    *updates* is read more than once: pass a stored table.
+    Only the months the update touches are read and rewritten, and they change
+    all at once: a driver lost before the end leaves the ledger as it was.  One
+    writer at a time.  *updates* is read more than once: pass a stored table.
     """
-    updates = updates.withColumn("bar_month", bar_month(F.col("bar_time")))
-    edges = updates.agg(
-        *[F.min(c).alias(f"low_{c}") for c in PARTITIONS], *[F.max(c).alias(f"high_{c}") for c in PARTITIONS]
-    ).first()
-    if edges["low_symbol"] is None:
+    require_utc(spark)
+    if updates.isEmpty():
         return Upserted(0, 0)
-
-    create_ledger(spark, path)
-    current = read_ledger(spark, path)
-    for c in PARTITIONS:  # literal bounds, so that whole directories are skipped
-        current = current.where(F.col(c).between(edges[f"low_{c}"], edges[f"high_{c}"]))
-    current = current.join(updates.select(*PARTITIONS).distinct(), PARTITIONS, "left_semi")
-
+    updates = updates.withColumn("bar_month", bar_month(F.col("bar_time")))
+    table = ledger_table(path)
     counts = Observation()
-    merged = merge_candles(current, updates, now_ms).observe(
+    merged = merge_candles(_touched(table.read(spark), updates), updates, now_ms).observe(
         counts,
         F.count_if(F.col("change") == "inserted").alias("inserted"),
         F.count_if(F.col("change") == "updated").alias("updated"),
     )
-    merged.select(*LEDGER.names, bar_month(F.col("bar_time")).alias("bar_month")).write.mode("overwrite").parquet(
-        _stage_path(path)
+    rows = merged.select(*LEDGER.names, bar_month(F.col("bar_time")).alias("bar_month"))
+    table.replace(
+        rows.select(*READ_SCHEMA.names).hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "bar_time")
     )
-    _apply(spark.read.schema(READ_SCHEMA).parquet(_stage_path(path)), path)
     return Upserted(counts.get["inserted"], counts.get["updated"])
 
 
@@ -178,11 +162,15 @@ def latest_candles(ledger: DataFrame, symbol: str, timeframe: str, limit=None) -
 
 
 def latest_per_series(ledger: DataFrame, limit=None) -> DataFrame:
-    """:func:`latest_candles` for every (symbol, timeframe) at once."""
+    """The newest *limit* candles (200 unless given) of every series at once.
+
+    This is no page: the limit is taken as it is.
+    """
+    limit = DEFAULT_LIMIT if limit is None else int(limit)
     newest = Window.partitionBy("symbol", "timeframe").orderBy(F.col("bar_time").desc())
     return (
         ledger.select("symbol", "timeframe", *CANDLE_PAGE, F.row_number().over(newest).alias("_nth"))
-        .where(F.col("_nth") <= clamp_limit(limit))
+        .where(F.col("_nth") <= limit)
         .drop("_nth")
     )
 

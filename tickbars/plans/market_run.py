@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.functions.timeframes import check_divides, check_timeframe_name, date_range, timeframe_seconds
+from tickbars.functions.timeframes import check_divides, check_days, check_timeframe_name, timeframe_seconds
 from tickbars.operators.bars import resample
 from tickbars.operators.cleaning import clean_ticks, drop_repeated_rows
 from tickbars.operators.gaps import classify_gaps, detect_gaps
@@ -124,7 +124,7 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
 
     A dry run computes everything and writes neither archive nor ledger.
     """
-    start, end = date_range("backfill", start, end)
+    start, end = check_days(start, end)
     timeframe_seconds(check_timeframe_name(timeframe))
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     log = RunLog({"timeframe": timeframe, "mode": "backfill", "start": start, "end": end, "dry_run": dry_run})

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+SCRATCH = "tickbars"
+
 # Timestamps are instants; calendar functions and naive strings are read as UTC.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,13 +37,24 @@ def local_session(cores: int | str = "*", app: str = "tickbars", memory: str = "
     return configure(builder.getOrCreate())
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days, months and naive times are taken in the session's zone: it must be UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"the session's time zone is {zone}; call tickbars.session.configure first")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests) is a fresh local folder chosen.
+    Where none is named, a fresh local folder serves a session on one machine;
+    on a cluster that would lose rows, so it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tickbars-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -49,7 +62,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/tickbars/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{SCRATCH}/{label}-{uuid.uuid4().hex}"
+
+
+def files_of(spark: SparkSession, folder: str):
+    """The file system of *folder* and its path there, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`stored` that have no reader any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if f"{SCRATCH}/" in folder:
+                files, path = files_of(table.sparkSession, folder)
+                files.delete(path, True)
 
 
 def read_or_empty(spark: SparkSession, schema: StructType, path: str, **options: str) -> DataFrame:

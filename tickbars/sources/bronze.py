@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, TimestampType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructType, TimestampType
 
 from tickbars.functions.sessions import is_weekday
 from tickbars.operators.cleaning import drop_repeated_rows
 from tickbars.schemas import SOURCE_TICKS, TICKS, with_fields
-from tickbars.session import read_or_empty
+from tickbars.session import read_or_empty, require_utc
+from tickbars.sources.versions import VersionedTable
 
 # Fixed value: an hour file's name.  The compacted file beside it must not be read with it.
 HOUR_FILE = "[0-9][0-9]_[0-9][0-9].parquet"
@@ -139,8 +140,15 @@ def compact_months(ticks: DataFrame, path: str) -> None:
     _sorted_write(dated, path, ["symbol", "year", "month"], "overwrite")
 
 
+def archive_table(path: str) -> VersionedTable:
+    schema = with_fields(TICKS, year=StringType(), month=StringType(), day=StringType())
+    return VersionedTable(path.rstrip("/"), StructType([f for f in schema if f.name != "symbol"] + [schema["symbol"]]),
+                          ("symbol", "year", "month", "day"))
+
+
 def archive_days(ticks: DataFrame, path: str) -> None:
-    """Write the day archive ``symbol=/year=/month=/day=``.  A day written again is replaced."""
+    """Write the day archive ``symbol=/year=/month=/day=``.  A day written again is replaced, all at once."""
+    require_utc(ticks.sparkSession)
     at = F.col("timestamp_utc")
     dated = drop_repeated_rows(ticks.select(*TICKS.names)).select(
         "*",
@@ -148,7 +156,8 @@ def archive_days(ticks: DataFrame, path: str) -> None:
         F.date_format(at, "MM").alias("month"),
         F.date_format(at, "dd").alias("day"),
     )
-    _sorted_write(dated, path, ["symbol", "year", "month", "day"], "overwrite")
+    days = ["symbol", "year", "month", "day"]
+    archive_table(path).replace(dated.hint("rebalance", *days).sortWithinPartitions(*days, "timestamp_utc", "seq"))
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
@@ -156,30 +165,30 @@ def read_months(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TICKS).parquet(path).select(*TICKS.names)
 
 
-def _archive(spark: SparkSession, path: str, start: str | None, end: str | None) -> DataFrame:
-    fields = with_fields(TICKS, year=IntegerType(), month=IntegerType(), day=IntegerType())
-    ticks = read_or_empty(spark, fields, path)
-    date = F.make_date("year", "month", "day")
-    return ticks.where(date.between(start, end)) if start and end else ticks
+def _dates(start: str | None, end: str | None) -> Column:
+    date = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    return date.between(start, end) if start and end else F.lit(True)
 
 
 def read_archive(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """The day archive, or the days from *start* to *end*.  Other directories are not opened."""
-    return _archive(spark, path, start, end).select(*TICKS.names)
+    return archive_table(path).read(spark).where(_dates(start, end)).select(*TICKS.names)
 
 
 def archived_days(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """The (symbol, day) pairs of the archive.  Reads directory names, no tick columns."""
-    days = _archive(spark, path, start, end)
-    return days.select("symbol", F.make_date("year", "month", "day").alias("day")).distinct()
+    """The (symbol, day) pairs of the archive, from its manifest: no ticks are read."""
+    days = archive_table(path).manifest(spark).where(_dates(start, end))
+    return days.select("symbol", F.to_date(F.concat_ws("-", "year", "month", "day")).alias("day"))
 
 
 def merge_into_archive(spark: SparkSession, ticks: DataFrame, path: str) -> None:
     """Add part of a day to the archive without losing the rest of it.
 
-    The days touched are read, joined with the new ticks, staged beside the
-    archive, and replaced.  *ticks* is read more than once: pass a stored table.
+    The days touched are read, joined with the new ticks, and replaced all at
+    once.  Merging the same ticks again changes nothing.  *ticks* is read more than
+    once: pass a stored table.
     """
+    require_utc(spark)
     day = _day(F.col("timestamp_utc"))
     edges = ticks.agg(F.min(day).cast("string").alias("first"), F.max(day).cast("string").alias("last")).first()
     if edges["first"] is None:
@@ -187,6 +196,4 @@ def merge_into_archive(spark: SparkSession, ticks: DataFrame, path: str) -> None
     touched = ticks.select("symbol", day.alias("_day")).distinct()
     old = read_archive(spark, path, edges["first"], edges["last"]).withColumn("_day", day)
     kept = old.join(touched, ["symbol", "_day"], "left_semi").select(*TICKS.names)
-    staging = path.rstrip("/") + "__staged"
-    kept.unionByName(ticks.select(*TICKS.names)).write.mode("overwrite").parquet(staging)
-    archive_days(spark.read.schema(TICKS).parquet(staging), path)
+    archive_days(kept.unionByName(ticks.select(*TICKS.names)), path)

@@ -15,8 +15,8 @@ from tickbars.functions.timeframes import check_divides
 from tickbars.operators.bars import bars_to_ticks, resample
 from tickbars.operators.cleaning import clean_ticks
 from tickbars.operators.indicators import compute_atr
-from tickbars.operators.ledger import Upserted, ledger_rows, recover_ledger, upsert_candles
-from tickbars.session import stored
+from tickbars.operators.ledger import Upserted, ledger_rows, upsert_candles
+from tickbars.session import discard, stored
 from tickbars.sources.barfeed import document_columns, feed_bars, latest_revision
 
 
@@ -44,30 +44,34 @@ def live_ticks(documents: DataFrame) -> DataFrame:
     return bars_to_ticks(stored(latest_revision(feed_bars(documents)), "live-bars"))
 
 
+def _candles_without_atr(ticks: DataFrame, timeframe: str, trim: bool) -> DataFrame:
+    candles = resample(clean_ticks(ticks), timeframe)
+    return stored(trim_leading_partial(candles, ticks) if trim else candles, "live-candles")
+
+
 def live_candles(documents: DataFrame, fetch_interval: str, timeframe: str, period: int = 14,
                  trim: bool = True) -> DataFrame:
     """Feed documents to candles with ATR, through the same chain as history."""
     check_divides(fetch_interval, timeframe)
-    ticks = live_ticks(documents)
-    candles = resample(clean_ticks(ticks), timeframe)
-    if trim:
-        candles = trim_leading_partial(candles, ticks)
-    return compute_atr(stored(candles, "live-candles"), period)
+    return compute_atr(_candles_without_atr(live_ticks(documents), timeframe, trim), period)
 
 
 def apply_documents(spark: SparkSession, documents: DataFrame, ledger_path: str, fetch_interval: str,
                     timeframe: str, period: int, now_ms: int, trim: bool = True) -> Upserted:
     """One batch of documents into the ledger."""
-    candles = live_candles(documents, fetch_interval, timeframe, period, trim)
-    rows = stored(ledger_rows(candles, timeframe), "live-ledger-rows")
-    return upsert_candles(spark, ledger_path, rows, now_ms)
+    check_divides(fetch_interval, timeframe)
+    ticks = live_ticks(documents)
+    candles = _candles_without_atr(ticks, timeframe, trim)
+    rows = stored(ledger_rows(compute_atr(candles, period), timeframe), "live-ledger-rows")
+    written = upsert_candles(spark, ledger_path, rows, now_ms)
+    discard(ticks, candles, rows)
+    return written
 
 
 def write_live(documents: DataFrame, ledger_path: str, checkpoint: str, fetch_interval: str = "1min",
                timeframe: str = "5min", period: int = 14, trim: bool = True, clock=time.time):
     """Start the query that keeps the ledger up to date with a document stream."""
     check_divides(fetch_interval, timeframe)
-    recover_ledger(documents.sparkSession, ledger_path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         apply_documents(

@@ -18,9 +18,9 @@ from tickbars.functions.timeframes import timeframe_seconds
 from tickbars.operators.bars import resample
 from tickbars.operators.cleaning import TICK_IDENTITY, derive_price
 from tickbars.operators.gaps import LONG_STEP, classify_gaps, runs_in_holes
-from tickbars.operators.ledger import ledger_rows, recover_ledger, upsert_candles
+from tickbars.operators.ledger import ledger_rows, upsert_candles
 from tickbars.schemas import CANDLES, TICKS, with_fields
-from tickbars.session import stored
+from tickbars.session import discard, stored
 from tickbars.sources.bronze import merge_into_archive
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -68,6 +68,9 @@ def _wilder(period: int):
             count, last, level = self.state.get() if self.state.exists() else (0, None, 0.0)
             out = []
             for high, low, close in zip(bars["bar_high"], bars["bar_low"], bars["bar_close"]):
+                if pd.isna(high) or pd.isna(low) or pd.isna(close):
+                    out.append(None)  # as in batch: no average, and the level stays
+                    continue
                 reach = high - low if last is None else max(high - low, abs(high - last), abs(low - last))
                 count, last = count + 1, close
                 # Up to the first full window the level is a running mean share.
@@ -146,11 +149,11 @@ def write_open_bars(bars: DataFrame, ledger_path: str, checkpoint: str, timefram
     the row.  ATR needs closed bars, so it comes from :func:`atr_stream` or a
     batch run, and the merge never clears it.
     """
-    recover_ledger(bars.sparkSession, ledger_path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = stored(ledger_rows(batch, timeframe), "open-bars")
         upsert_candles(batch.sparkSession, ledger_path, rows, int(clock() * 1000))
+        discard(rows)
 
     return (
         bars.writeStream.foreachBatch(apply)
@@ -165,7 +168,9 @@ def write_archive(ticks: DataFrame, path: str, checkpoint: str):
     """Merge arriving ticks into the day archive; a partial day never replaces a full one."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_into_archive(batch.sparkSession, stored(batch, "archive-batch"), path)
+        ticks = stored(batch, "archive-batch")
+        merge_into_archive(batch.sparkSession, ticks, path)
+        discard(ticks)
 
     return (
         ticks.writeStream.foreachBatch(apply)
