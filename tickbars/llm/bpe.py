@@ -279,15 +279,18 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", kee
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder = loaded(content.value)
         for batch in batches:
-            data, offsets = words.text_bytes(batch.columns[-1])  # the text comes last
+            data, offsets = words.text_bytes(batch.column(1))
+            kept = batch.column(0).flatten()  # the columns of the struct
             for at, to, found, edges in encoder.texts(data, offsets):
                 lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(found.astype(np.int32)))
-                rest = [c.slice(at, to - at) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*rest, lists], names=[*batch.schema.names[:-1], ids])
+                rest = [c.slice(at, to - at) for c in kept]
+                yield pa.RecordBatch.from_arrays([*rest, lists], names=names)
 
     own = docs.select(*[c for c in docs.columns if c != ids and (keep_text or c != text)])
+    names = [*own.columns, ids]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return docs.select(*own.columns, F.col(text).alias("_text")).mapInArrow(work, f"{schema}, `{ids}` array<int>")
+    pairs = docs.select(F.struct(*own.columns).alias("own"), F.col(text).alias("text"))
+    return pairs.mapInArrow(work, f"{schema}, `{ids}` array<int>")
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -92,7 +92,7 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     for j in range(8):
         low *= np.where(x < 1e6, x + j, 1.0)
     x = np.where(x < 1e6, x + 8, x)
-    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) + 1 / (1188 * x**9)
     return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series - np.log(low)
 
 

@@ -136,7 +136,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
         "cells",
     )
     sources = cells.groupBy("key").agg(
-        F.sum("blocks").alias("blocks"), (F.first("target") / F.first("source_size")).alias("ratio")
+        F.sum("blocks").alias("blocks"), F.try_divide(F.first("target"), F.first("source_size")).alias("ratio")
     ).withColumn("votes", F.coalesce(F.col("ratio") * F.col("blocks"), F.lit(0.0)))
     house = F.round(F.sum("votes").over(Window.partitionBy("all"))).cast("long")
     quota = apportion(

@@ -4,7 +4,8 @@ Keys are pairs of longs.  In each round a few candidate keys are placed inside
 every interval that still holds a wanted boundary; all partitions count the exact
 weight, and the smallest and largest key, between neighbouring candidates; the
 driver narrows the intervals.  It sees counts between candidates only.  When a
-candidate is near enough, or an interval holds a single key, the splitter stands.
+candidate is near enough, or an interval holds a single key or a small group of one
+text, the splitter stands.
 Then rows are exchanged once.
 
 Shards hold near equal bytes (law ``bytes``).  The key is a hash of the text and
@@ -32,6 +33,7 @@ HALF = 1 << 63
 PROBES = 32
 SHARDS = 24
 TOLERANCE = 0.002
+GROUP_SHARE = 0.02  # of a part: rows of one high key that weigh no more are never cut apart
 LANE_BYTES = 32 << 20
 
 Key = tuple[int, int]
@@ -101,14 +103,14 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) -> tupl
 
     A row belongs to the part numbered by how many splitters are not above its
     key.  Each splitter is within *tolerance* of a part's weight of its place, or
-    at the key nearest to it.
+    at the nearest edge of a group of one high key (GROUP_SHARE at most), or of a key.
     """
     found = count_between(keys, [])
     if not found or parts < 2:
         return [], found[0]["weight"] if found else 0
     total = found[0]["weight"]
     least, most = _number(*found[0]["least"]), _number(*found[0]["most"])
-    allowed = tolerance * total / parts
+    allowed, whole = tolerance * total / parts, GROUP_SHARE * total / parts
     intervals = [_Open(total * i / parts, least, most, 0, total) for i in range(1, parts)]
     result: dict[int, int] = {}
     while len(result) < len(intervals):
@@ -129,8 +131,13 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) -> tupl
             best = min(near, key=lambda k: abs(below[k] - x.want))
             row = gaps.get(g + 1)
             one_key = row is None or row["least"] == row["most"]
+            # neighbours of one high key stay together while they weigh little
+            one_group = row is not None and row["least"][0] == row["most"][0] and row["weight"] <= whole
             if abs(below[best] - x.want) <= allowed or one_key:
                 result[i] = edges[best] if best == g else _number(*row["most"]) + 1 if row else edges[best]
+            elif one_group:
+                after = below[g] + row["weight"] - x.want < x.want - below[g]
+                result[i] = _number(*row["most"]) + 1 if after else _number(*row["least"])
             else:
                 x.low, x.high, x.below = _number(*row["least"]), _number(*row["most"]), below[g]
     return [_pair(result[i]) for i in range(len(intervals))], total
