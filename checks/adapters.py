@@ -33,6 +33,22 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_of_events(table(spark, sf_dir, "events"))
 
 
+def ticks_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ticks in each millisecond: out of order in ``seq``, which is large, some of them in one microsecond."""
+    base, k = F.col("timestamp_utc"), F.col("k")
+    tens = (F.col("seq") * 7 % 3 + k * (F.col("seq") % 2)) * 300
+    return ticks(spark, sf_dir).select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k")).select(
+        F.timestamp_micros(F.unix_micros(base) + tens).alias("timestamp_utc"),
+        (F.col("ask") + k).alias("ask"), (F.col("bid") + k).alias("bid"), "ask_volume", "bid_volume", "symbol",
+        (F.col("seq") + (2 - k).cast("long") * 1_000_000_000_000 + 999_999).alias("seq"),
+    )
+
+
+FINE_SQL = """fine AS (SELECT make_timestamp(epoch_us(timestamp_utc) + (seq * 7 % 3 + k * (seq % 2)) * 300) AS timestamp_utc,
+  ask + k AS ask, bid + k AS bid, ask_volume, bid_volume, symbol, seq + (2 - k) * 1000000000000 + 999999 AS seq
+  FROM ticks, unnest([0, 1, 2]) AS u(k))"""
+
+
 def ticks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redelivered(ticks(spark, sf_dir))
 

@@ -235,6 +235,11 @@ def _roundtrip(spark, sf_dir, timeframe):
     return B.resample(cleaning.clean_ticks(back), timeframe)
 
 
+@query("bars_same_ms", f"WITH {A.TICKS_SQL},{A.FINE_SQL},{A.clean_sql('fine')},{A.bars_sql('1 minute')} SELECT symbol, {CANDLE_OUT} FROM bars")
+def _(spark, sf_dir):
+    return B.resample(cleaning.clean_ticks(A.ticks_fine(spark, sf_dir)), "1min")
+
+
 @query("bars_roundtrip", f"WITH {HOURLY_SQL} SELECT symbol, {CANDLE_OUT} FROM bars")
 def _(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "1h")
@@ -285,6 +290,26 @@ _atr_query("atr_3", 3, HOURLY_SQL, hourly)
 _atr_query("atr_short_series", 40, CLEAN_SQL + "," + A.bars_sql("1 day"), _daily)
 _atr_query("atr_shipments", 21, SHIPMENTS_SQL + "," + A.bars_sql("1 day"), _shipments_daily)
 
+# Every fifth hour has volume only.
+HOLLOW_SQL = f"""{HOURLY_SQL},
+hollow AS (SELECT symbol, bar_time, CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_open END AS bar_open, CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_high END AS bar_high,
+  CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_low END AS bar_low, CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_close END AS bar_close, bar_volume FROM bars),
+priced AS (SELECT * FROM hollow WHERE bar_close IS NOT NULL)"""
+
+
+def hollow(candles: DataFrame) -> DataFrame:
+    return candles.withColumns({c: F.when(F.hour("bar_time") % 5 != 0, F.col(c)) for c in ("bar_open", "bar_high", "bar_low", "bar_close")})
+
+
+@query(
+    "atr_missing_prices",
+    f"WITH RECURSIVE {HOLLOW_SQL},{A.atr_sql(14, 'priced')} SELECT symbol, {CANDLE_OUT}, round(a.atr, 6) AS atr "
+    "FROM hollow h LEFT JOIN (SELECT symbol, bar_time, atr FROM with_atr) a USING (symbol, bar_time)",
+)
+def _(spark, sf_dir):
+    return indicators.compute_atr(stored(hollow(hourly(spark, sf_dir)), "hollow"), 14)
+
+
 CHANGE_SQL = """, newest AS (SELECT symbol, bar_time, bar_close, row_number() OVER w AS nth, lead(bar_close) OVER w AS prev
   FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY bar_time DESC))
 SELECT symbol, epoch_ms(bar_time) AS bar_time, round(bar_close, 6) AS last_close, round(bar_close - prev, 6) AS abs,
@@ -334,18 +359,21 @@ def _(spark, sf_dir):
     return gaps.classify_gaps(gaps.detect_gaps(B.resample(clean(spark, sf_dir), "5min"), "5min", "bar_time"))
 
 
-@query(
-    "coverage",
-    f"""WITH {A.TICKS_SQL},{A.gaps_sql(300, 'ticks', 'timestamp_utc')},
+def _coverage_query(name: str, freq: str, step: int) -> None:
+    sql = f"""WITH {A.TICKS_SQL},{A.gaps_sql(step, 'ticks', 'timestamp_utc')},
     p AS (SELECT symbol, count(*) AS present FROM gaps_present GROUP BY symbol),
     e AS (SELECT symbol, count(*) AS expected FROM gaps_expected GROUP BY symbol),
     m AS (SELECT symbol, count(*) AS missing FROM gaps_missing GROUP BY symbol),
-    g AS (SELECT symbol, count(*) AS gaps, round(sum(duration_minutes), 6) AS gap_minutes FROM gaps GROUP BY symbol)
-    SELECT symbol, present, expected, coalesce(missing, 0) AS missing, coalesce(gaps, 0) AS gaps, coalesce(gap_minutes, 0) AS gap_minutes
-    FROM p JOIN e USING (symbol) LEFT JOIN m USING (symbol) LEFT JOIN g USING (symbol)""",
-)
-def _(spark, sf_dir):
-    return gaps.coverage(A.ticks(spark, sf_dir), "5min")
+    g AS (SELECT symbol, count(*) AS gaps FROM gaps GROUP BY symbol)
+    SELECT symbol, present, expected, coalesce(missing, 0) AS missing, coalesce(gaps, 0) AS gaps,
+      round(coalesce(missing, 0) * {step} / 60.0, 6) AS gap_minutes
+    FROM p JOIN e USING (symbol) LEFT JOIN m USING (symbol) LEFT JOIN g USING (symbol)"""
+    query(name, sql)(lambda spark, sf_dir: gaps.coverage(A.ticks(spark, sf_dir), freq))
+
+
+_coverage_query("coverage", "5min", 300)
+_coverage_query("coverage_10s", "10s", 10)
+_coverage_query("coverage_1s", "1s", 1)
 
 
 OPEN_SQL = """(isodow(ts) <> 6 AND NOT (isodow(ts) = 5 AND hour(ts) >= 22) AND NOT (isodow(ts) = 7 AND hour(ts) < 22))"""
@@ -451,6 +479,27 @@ def _(spark, sf_dir):
     return ledger.merge_candles(current, new, SECOND_WRITE).groupBy("change").agg(F.count("*").alias("candles"))
 
 
+def _lose_driver(rows: DataFrame, path: str) -> None:
+    """What a writer leaves that is lost before its commit: rows of a version, and half a manifest."""
+    version = "0000000009-lost"
+    table = ledger.ledger_table(path)
+    lost = rows.withColumn("bar_month", ledger.bar_month(F.col("bar_time"))).limit(5)
+    lost = lost.withColumns({"version": F.lit(version), "ingested_at": F.lit(0), "last_updated_at": F.lit(0)})
+    lost.write.mode("append").partitionBy("version", *table.partitions).parquet(path)
+    half = lost.select(*table.partitions, "version").distinct()
+    half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/_manifests/{version}")
+
+
+@query("ledger_after_crash", f"WITH RECURSIVE {LEDGER_SQL} SELECT symbol, timeframe, {CANDLE_OUT}, round(atr, 6) AS atr, ingested_at, last_updated_at FROM merged")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "ledger")
+    old, new = _deliveries(spark, sf_dir)
+    ledger.upsert_candles(spark, path, old, FIRST_WRITE)
+    _lose_driver(new, path)
+    ledger.upsert_candles(spark, path, new, SECOND_WRITE)
+    return ledger.read_ledger(spark, path).select(*[c.strip() for c in LEDGER_COLUMNS.split(",")])
+
+
 HEALTH_NOW = SECOND_WRITE + 1_234_567
 
 
@@ -524,6 +573,33 @@ def _(spark, sf_dir):
     return tickfiles.decode_ticks(landing.tick_files(A.ticks(spark, sf_dir)))
 
 
+@query("bi5_files", ORACLES["bi5_ingest"])
+def _(spark, sf_dir):
+    """The same, from files on disk."""
+    folder = scratch_path(spark, "landing")
+    landing.write_files(landing.tick_files(A.ticks(spark, sf_dir)), folder)
+    return tickfiles.decode_ticks(tickfiles.read_tick_files(spark, folder))
+
+
+@query(
+    "bi5_rejected",
+    f"""WITH {A.TICKS_SQL} SELECT DISTINCT CASE symbol WHEN 'CLICK' THEN 'XAUUSD' WHEN 'ERROR' THEN 'USDJPY' ELSE symbol END AS symbol,
+      strftime(timestamp_utc, '%Y-%m-%d %H') AS hour, seq // {landing.FILE_ROWS} AS chunk,
+      CASE WHEN hour(timestamp_utc) % 3 = 0 THEN 'does not decode' ELSE '2 bytes after the last record' END AS problem FROM ticks""",
+)
+def _(spark, sf_dir):
+    """Every file ends in two stray bytes; every third hour is cut short."""
+    files = landing.tick_files(A.ticks(spark, sf_dir))
+    cut = F.hour(tickfiles.hour_of_path(F.col("path"))) % 3 == 0
+    files = files.withColumn("content", F.when(cut, F.col("content").substr(F.lit(1), F.octet_length("content") - 9)).otherwise(F.col("content")))
+    at = tickfiles.hour_of_path(F.col("path"))
+    return tickfiles.rejected_files(files).select(
+        tickfiles.symbol_of_path(F.col("path")).alias("symbol"), F.date_format(at, "yyyy-MM-dd HH").alias("hour"),
+        F.regexp_extract("path", r"landing/(\d+)/", 1).cast("long").alias("chunk"),
+        F.substring_index("problem", ":", 1).alias("problem"),
+    )
+
+
 DAYS_SQL = """ranges AS (SELECT symbol, CAST(min(timestamp_utc) AS DATE) AS start_date, CAST(max(timestamp_utc) AS DATE) AS end_date FROM ticks GROUP BY symbol)"""
 
 
@@ -601,14 +677,35 @@ def _(spark, sf_dir):
     return bronze.read_months(spark, path)
 
 
-@query("archive_roundtrip", f"WITH {KEPT_ROWS_SQL} SELECT {TICK_OUT} FROM kept WHERE timestamp_utc >= TIMESTAMP '2024-01-08'")
-def _(spark, sf_dir):
+def _archive(spark, sf_dir, times: int = 1) -> str:
+    """An archive in two deliveries that meet within a day, the second delivered *times* times."""
     path = scratch_path(spark, "archive")
     ticks = stored(A.ticks_dirty(spark, sf_dir), "ticks")
     noon = F.lit("2024-01-15T12:00:00Z").cast("timestamp")
     bronze.archive_days(ticks.where(F.col("timestamp_utc") < noon), path)
-    bronze.merge_into_archive(spark, ticks.where(F.col("timestamp_utc") >= noon), path)
-    return bronze.read_archive(spark, path, "2024-01-08", "2024-12-31")
+    for _ in range(times):
+        bronze.merge_into_archive(spark, ticks.where(F.col("timestamp_utc") >= noon), path)
+    return path
+
+
+@query("archive_roundtrip", f"WITH {KEPT_ROWS_SQL} SELECT {TICK_OUT} FROM kept")
+def _(spark, sf_dir):
+    return bronze.read_archive(spark, _archive(spark, sf_dir))
+
+
+@query("archive_range", f"WITH {KEPT_ROWS_SQL} SELECT {TICK_OUT} FROM kept WHERE timestamp_utc >= TIMESTAMP '2024-01-08'")
+def _(spark, sf_dir):
+    return bronze.read_archive(spark, _archive(spark, sf_dir), "2024-01-08", "2024-12-31")
+
+
+@query("archive_replay", f"WITH {KEPT_ROWS_SQL} SELECT {TICK_OUT} FROM kept")
+def _(spark, sf_dir):
+    return bronze.read_archive(spark, _archive(spark, sf_dir, times=2))
+
+
+@query("archive_days", f"WITH {KEPT_ROWS_SQL} SELECT DISTINCT symbol, CAST(CAST(timestamp_utc AS DATE) AS VARCHAR) AS day FROM kept")
+def _(spark, sf_dir):
+    return bronze.archived_days(spark, _archive(spark, sf_dir)).select("symbol", F.col("day").cast("string").alias("day"))
 
 
 # --- the bar feed -----------------------------------------------------------------------------
@@ -665,18 +762,23 @@ def _(spark, sf_dir):
 
 # --- whole runs -------------------------------------------------------------------------------
 
+REPORT_SQL = """SELECT t.symbol, '{timeframe}' AS timeframe, '{mode}' AS mode, {start} AS start, {stop} AS end, false AS dry_run,
+      ticks_ingested, ticks_clean, archive_days, archive_rows, candles_produced, CAST(0 AS BIGINT) AS candles_rejected,
+      coalesce(gaps_found, 0) AS gaps_found, coalesce(gaps_expected, 0) AS gaps_expected, coalesce(gaps_real, 0) AS gaps_real,
+      candles_produced AS ledger_rows, 'OK' AS reconcile, 'PASS' AS result
+    FROM (SELECT symbol, count(*) AS ticks_ingested, {archive} FROM {ticks} GROUP BY symbol) t
+    JOIN (SELECT symbol, count(*) AS ticks_clean FROM {clean} GROUP BY symbol) USING (symbol)
+    JOIN (SELECT symbol, count(*) AS candles_produced FROM {candles} GROUP BY symbol) USING (symbol)
+    LEFT JOIN (SELECT symbol, count(*) AS gaps_found, count_if(expected) AS gaps_expected, count_if(NOT expected) AS gaps_real
+      FROM labelled GROUP BY symbol) USING (symbol)"""
+
 
 @query(
     "run_report",
     f"""WITH {KEPT_ROWS_SQL},{A.clean_sql('kept')},{A.bars_sql('15 minutes')},{A.gaps_sql(900, 'bars', 'bar_time')},
     labelled AS (SELECT *, {EXPECTED_SQL} AS expected FROM gaps)
-    SELECT '15min' AS timeframe, 'backfill' AS mode, '2024-01-01' AS start, '2024-01-31' AS end, false AS dry_run,
-      (SELECT count(*) FROM kept) AS ticks_ingested, (SELECT count(*) FROM clean) AS ticks_clean,
-      (SELECT count(DISTINCT symbol || CAST(CAST(timestamp_utc AS DATE) AS VARCHAR)) FROM kept) AS archive_days,
-      (SELECT count(*) FROM kept) AS archive_rows, (SELECT count(*) FROM bars) AS candles_produced,
-      (SELECT count(*) FROM labelled) AS gaps_found, (SELECT count(*) FROM labelled WHERE expected) AS gaps_expected,
-      (SELECT count(*) FROM labelled WHERE NOT expected) AS gaps_real, (SELECT count(*) FROM bars) AS ledger_rows,
-      'OK' AS reconcile, 'PASS' AS result""",
+    {REPORT_SQL.format(timeframe='15min', mode='backfill', start="'2024-01-01'", stop="'2024-01-31'", ticks='kept', clean='clean',
+      archive="count(DISTINCT CAST(timestamp_utc AS DATE)) AS archive_days, count(*) AS archive_rows", candles='bars')}""",
 )
 def _(spark, sf_dir):
     report = backfill(
@@ -686,19 +788,33 @@ def _(spark, sf_dir):
     return report.drop("elapsed_s", "stages")
 
 
+@query(
+    "run_report_shared_archive",
+    f"""WITH {KEPT_ROWS_SQL.replace('kept AS', 'all_kept AS')}, kept AS (SELECT * FROM all_kept WHERE symbol IN ('CLICK', 'VIEW')),
+    {A.clean_sql('kept')},{A.bars_sql('15 minutes')},{A.gaps_sql(900, 'bars', 'bar_time')},
+    labelled AS (SELECT *, {EXPECTED_SQL} AS expected FROM gaps)
+    {REPORT_SQL.format(timeframe='15min', mode='backfill', start="'2024-01-01'", stop="'2024-01-31'", ticks='kept', clean='clean',
+      archive="count(DISTINCT CAST(timestamp_utc AS DATE)) AS archive_days, count(*) AS archive_rows", candles='bars')}""",
+)
+def _(spark, sf_dir):
+    """Two runs on one archive and one ledger; the second, of two symbols in lower case, counts its own data only."""
+    paths = {"archive_path": scratch_path(spark, "run-archive"), "ledger_path": scratch_path(spark, "run-ledger")}
+    ticks, two = A.ticks_dirty(spark, sf_dir), F.col("symbol").isin("CLICK", "VIEW")
+    backfill(spark, ticks.where(~two), "2024-01-01", "2024-01-31", timeframe="15min", now_ms=FIRST_WRITE, **paths)
+    own = ticks.where(two).withColumn("symbol", F.lower("symbol"))
+    report = backfill(spark, own, "2024-01-01", "2024-01-31", timeframe="15min", now_ms=SECOND_WRITE, **paths)
+    return report.drop("elapsed_s", "stages")
+
+
 @query(
     "live_report",
     f"""WITH {CLEAN_SQL},{A.bars_sql('1 hour')}, four AS (SELECT DISTINCT symbol, time_bucket(INTERVAL '4 hours', bar_time) AS bar_time FROM bars),
     kept AS (SELECT * FROM four WHERE bar_time >= (SELECT min(bar_time) FROM bars b WHERE b.symbol = four.symbol)),
     {A.gaps_sql(14400, 'kept', 'bar_time')}, labelled AS (SELECT *, {EXPECTED_SQL} AS expected FROM gaps),
     prices AS (SELECT symbol, bar_time, unnest([bar_open, bar_high, bar_low, bar_close]) AS price, unnest([0, 1, 2, 3]) AS seq FROM bars)
-    SELECT '4h' AS timeframe, 'live' AS mode, (SELECT strftime(min(bar_time), '%Y-%m-%d') FROM bars) AS start,
-      (SELECT strftime(max(bar_time), '%Y-%m-%d') FROM bars) AS end, false AS dry_run,
-      (SELECT count(*) FROM prices) AS ticks_ingested, (SELECT count(*) FROM prices) AS ticks_clean,
-      CAST(0 AS BIGINT) AS archive_days, CAST(0 AS BIGINT) AS archive_rows, (SELECT count(*) FROM kept) AS candles_produced,
-      (SELECT count(*) FROM labelled) AS gaps_found, (SELECT count(*) FROM labelled WHERE expected) AS gaps_expected,
-      (SELECT count(*) FROM labelled WHERE NOT expected) AS gaps_real, (SELECT count(*) FROM kept) AS ledger_rows,
-      'OK' AS reconcile, 'PASS' AS result""",
+    {REPORT_SQL.format(timeframe='4h', mode='live', start="(SELECT strftime(min(bar_time), '%Y-%m-%d') FROM bars)",
+      stop="(SELECT strftime(max(bar_time), '%Y-%m-%d') FROM bars)", ticks='prices', clean='prices',
+      archive="CAST(0 AS BIGINT) AS archive_days, CAST(0 AS BIGINT) AS archive_rows", candles='kept')}""",
 )
 def _(spark, sf_dir):
     report = live_run(
@@ -720,13 +836,30 @@ bars AS (SELECT * FROM all_bars WHERE bar_time + INTERVAL 1 HOUR <=
   (SELECT max(timestamp_utc) FROM ticks) - INTERVAL {DELAY_MINUTES} MINUTE)"""
 
 
+BATCHES = 4
+
+
+def _arriving(spark, sf_dir) -> DataFrame:
+    """``events`` as a stream of BATCHES files, one to a micro-batch, each with the last five minutes of the one before again."""
+    events = A.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    step = (ends["b"] - ends["a"]) / BATCHES
+    path = scratch_path(spark, "arriving")
+    for i in range(BATCHES):
+        low, high = F.lit(ends["a"] + i * step), F.lit(ends["a"] + (i + 1) * step)
+        part = events.where((F.col("ts") >= low - F.expr("INTERVAL 5 MINUTES")) & ((F.col("ts") < high) if i < BATCHES - 1 else F.lit(True)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _stream_ticks(spark, sf_dir) -> DataFrame:
+    streaming.use_keyed_state(spark)
+    return A.redelivered(A.ticks_of_events(_arriving(spark, sf_dir)), other_volumes=False)
+
+
 def _run_stream(spark, sf_dir, chain):
     """Stream ``events`` through *chain* into a table in the shared folder, and read that."""
-    streaming.use_keyed_state(spark)
-    schema = A.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    ticks = A.redelivered(A.ticks_of_events(events), other_volumes=False)
-    out = chain(streaming.clean_stream(ticks, f"{DELAY_MINUTES} minutes"))
+    out = chain(streaming.clean_stream(_stream_ticks(spark, sf_dir), f"{DELAY_MINUTES} minutes"))
     path = scratch_path(spark, "stream-out")
     streaming.write_stream(out, path, scratch_path(spark, "stream-checkpoint")).awaitTermination()
     return spark.read.schema(out.schema).parquet(path)
@@ -748,3 +881,55 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _run_stream(spark, sf_dir, lambda clean: streaming.gap_stream(streaming.bar_stream(clean, "1h"), "1h"))
+
+
+@query(
+    "stream_atr_missing_prices",
+    f"""WITH RECURSIVE {STREAM_SQL}, hollow AS (SELECT * REPLACE (CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_open END AS bar_open,
+      CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_high END AS bar_high, CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_low END AS bar_low,
+      CASE WHEN hour(bar_time) % 5 <> 0 THEN bar_close END AS bar_close) FROM bars),
+    priced AS (SELECT * FROM hollow WHERE bar_close IS NOT NULL),{A.atr_sql(14, 'priced')}
+    SELECT symbol, {PAGE_OUT} FROM hollow h LEFT JOIN (SELECT symbol, bar_time, atr FROM with_atr) a USING (symbol, bar_time)""",
+)
+def _(spark, sf_dir):
+    return _run_stream(spark, sf_dir, lambda clean: streaming.atr_stream(hollow(streaming.bar_stream(clean, "1h")), 14))
+
+
+@query("stream_archive", f"WITH {A.TICKS_SQL} SELECT {TICK_OUT} FROM ticks")
+def _(spark, sf_dir):
+    """Overlapping deliveries merged into the day archive, batch by batch."""
+    path = scratch_path(spark, "stream-archive")
+    ticks = A.ticks_of_events(_arriving(spark, sf_dir))
+    streaming.write_archive(ticks, path, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return bronze.read_archive(spark, path)
+
+
+@query("stream_open_bars", f"WITH {CLEAN_SQL},{A.bars_sql('1 hour')} SELECT symbol, '1h' AS timeframe, {CANDLE_OUT}, CAST(NULL AS DOUBLE) AS atr FROM bars")
+def _(spark, sf_dir):
+    """In update mode the ledger has every bar, those still forming too."""
+    path = scratch_path(spark, "stream-ledger")
+    clean_ticks = streaming.clean_stream(A.ticks_of_events(_arriving(spark, sf_dir)), f"{DELAY_MINUTES} minutes")
+    bars = streaming.bar_stream(clean_ticks, "1h")
+    streaming.write_open_bars(bars, path, scratch_path(spark, "stream-checkpoint"), "1h").awaitTermination()
+    return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+
+
+@query(
+    "stream_live_ledger",
+    f"""WITH RECURSIVE {CLEAN_SQL},{A.bars_sql('1 hour')}, fed AS (SELECT * EXCLUDE (bar_volume),
+      CASE WHEN day(bar_time) % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE bar_volume END AS bar_volume FROM bars)
+    SELECT symbol, '1h' AS timeframe, {CANDLE_OUT}, CAST(NULL AS DOUBLE) AS atr FROM fed""",
+)
+def _(spark, sf_dir):
+    """Documents of single days land one batch after the other; a day alone is too short for an average of 25."""
+    path, folder = scratch_path(spark, "stream-live"), scratch_path(spark, "stream-documents")
+    docs = stored(landing.documents(hourly(spark, sf_dir)), "documents")
+    edges = [F.lit(f"2024-01-{d:02d}").cast("timestamp") for d in (1, 9, 17, 25)] + [F.lit("2100-01-01").cast("timestamp")]
+    for low, high in zip(edges, edges[1:]):
+        part = docs.where((F.col("delivered_at") >= low) & (F.col("delivered_at") < high))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    live.write_live(
+        arriving, path, scratch_path(spark, "stream-checkpoint"), "1h", "1h", period=10_000, trim=False
+    ).awaitTermination()
+    return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)

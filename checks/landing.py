@@ -58,6 +58,26 @@ def tick_files(ticks: DataFrame) -> DataFrame:
     return files.select(path.alias("path"), "ticks").mapInPandas(_encoder(RECORD), "path STRING, content BINARY")
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """Each ``(path, content)`` as a file below *folder*, which all executors share."""
+
+    def write(batches):
+        import posixpath
+
+        from pyarrow import RecordBatch, fs, int64, schema
+
+        store, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                name = f"{root}/{path}"
+                store.create_dir(posixpath.dirname(name), recursive=True)
+                with store.open_output_stream(name) as out:
+                    out.write(content)
+            yield RecordBatch.from_pydict({"files": [batch.num_rows]}, schema([("files", int64())]))
+
+    files.select("path", "content").mapInArrow(write, "files BIGINT").agg(F.sum("files")).first()
+
+
 def documents(candles: DataFrame) -> DataFrame:
     """Feed documents of hourly candles: one good and one unusable for each symbol and day.
 

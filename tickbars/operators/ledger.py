@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,12 @@ def _or_fail(value: Column, ok: Column, message: str) -> Column:
     return F.when(F.coalesce(ok, F.lit(False)), value).otherwise(failed)
 
 
+def valid_candle() -> Column:
+    """Whether the ledger takes a candle: a symbol that passes the whitelist, finite prices and volume."""
+    finite = [C.finite(F.col(c)).isNotNull() for c in CANDLE_VALUES]
+    return F.coalesce(reduce(lambda a, b: a & b, finite, C.valid_symbol(F.col("symbol"))), F.lit(False))
+
+
 def ledger_rows(candles: DataFrame, timeframe: str) -> DataFrame:
     """Candles as ledger rows.
 

@@ -80,8 +80,43 @@ def _decoder(record, rows_per_batch=100_000):
     return decode
 
 
+def _inspector(record_bytes: int):
+    def inspect(batches):
+        import lzma
+
+        import pyarrow as pa
+
+        for batch in batches:
+            paths, problems = [], []
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                try:
+                    data = lzma.decompress(content.as_py())
+                    over = len(data) % record_bytes
+                    problem = f"{over} bytes after the last record" if over else None
+                except lzma.LZMAError as error:
+                    problem = f"does not decode: {error}"
+                if problem:
+                    paths.append(path.as_py())
+                    problems.append(problem)
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "problem": pa.array(problems, pa.string())})
+
+    return inspect
+
+
+def rejected_files(files: DataFrame) -> DataFrame:
+    """``(path, problem)`` of files that give no ticks, or fewer than their bytes: the quarantine.
+
+    An empty file is an hour without ticks, not a problem.
+    """
+    known = F.col("path").rlike(PATH_PATTERN)
+    unnamed = files.where(~known).select("path", F.lit("not the path of an hour file").alias("problem"))
+    named = files.where(known & (F.octet_length("content") > 0)).select("path", "content")
+    size = sum(int(kind[2:]) for _, kind in RECORD)
+    return unnamed.unionAll(named.mapInArrow(_inspector(size), "path string, problem string"))
+
+
 def decode_ticks(files: DataFrame) -> DataFrame:
-    """Files to ticks.  Bytes that do not decode, and a partial last record, give no rows.
+    """Files to ticks.  Bytes that do not decode, and a partial last record, give no rows: see :func:`rejected_files`.
 
     Python only unpacks; prices, volumes and times are scaled in the JVM.
     Every file is decoded on its own, in Arrow batches of bounded size.
