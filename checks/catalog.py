@@ -7,6 +7,7 @@ neither timestamp types nor the order of a sum can cause a false difference.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -708,6 +709,40 @@ def _(spark, sf_dir):
     return bronze.archived_days(spark, _archive(spark, sf_dir)).select("symbol", F.col("day").cast("string").alias("day"))
 
 
+SOURCE_OUT = TICK_OUT.removesuffix(", seq")
+
+
+@query("hour_files", f"WITH {A.DIRTY_SQL} SELECT DISTINCT {SOURCE_OUT} FROM ticks_dirty WHERE timestamp_utc >= TIMESTAMP '2024-01-05' AND timestamp_utc < TIMESTAMP '2024-01-26'")
+def _(spark, sf_dir):
+    """Hour files on disk, read symbol by symbol for a range of days."""
+    folder = scratch_path(spark, "hours")
+    landing.write_hour_files(A.ticks_dirty(spark, sf_dir), folder)
+    names = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+    read = [bronze.read_hour_files(spark, folder, name, "2024-01-05", "2024-01-25") for name in names]
+    return reduce(DataFrame.unionByName, read)
+
+
+@query("bars_of_path", f"WITH {HOURLY_SQL} SELECT symbol, {CANDLE_OUT} FROM bars")
+def _(spark, sf_dir):
+    """Candles of a table given by its path."""
+    path = scratch_path(spark, "clean")
+    clean(spark, sf_dir).write.parquet(path)
+    return B.resample(path, "1h")
+
+
+@query("known_times", f"WITH {A.TICKS_SQL} SELECT {TICK_OUT} FROM ticks WHERE seq % 4 <> 0")
+def _(spark, sf_dir):
+    """Ticks of which every fourth has lost its time."""
+    lost = A.ticks(spark, sf_dir).withColumn("timestamp_utc", F.when(F.col("seq") % 4 != 0, F.col("timestamp_utc")))
+    return cleaning.with_known_time(lost, "timestamp_utc")
+
+
+@query("time_order", f"WITH {A.DIRTY_SQL}, n AS (SELECT *, row_number() OVER (ORDER BY symbol, timestamp_utc, seq) AS place FROM (SELECT DISTINCT * FROM ticks_dirty)) SELECT {TICK_OUT} FROM n WHERE place <= 1000")
+def _(spark, sf_dir):
+    """The first thousand ticks by series and time."""
+    return cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct()).limit(1000)
+
+
 # --- the bar feed -----------------------------------------------------------------------------
 
 
@@ -839,8 +874,11 @@ bars AS (SELECT * FROM all_bars WHERE bar_time + INTERVAL 1 HOUR <=
 BATCHES = 4
 
 
-def _arriving(spark, sf_dir) -> DataFrame:
-    """``events`` as a stream of BATCHES files, one to a micro-batch, each with the last five minutes of the one before again."""
+def _arriving(spark, sf_dir, late: bool = False) -> DataFrame:
+    """``events`` as a stream of BATCHES files, one to a micro-batch, each with the last five minutes of the one before again.
+
+    *late* adds a last file, of every fiftieth event of the first.
+    """
     events = A.table(spark, sf_dir, "events")
     ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     step = (ends["b"] - ends["a"]) / BATCHES
@@ -849,6 +887,9 @@ def _arriving(spark, sf_dir) -> DataFrame:
         low, high = F.lit(ends["a"] + i * step), F.lit(ends["a"] + (i + 1) * step)
         part = events.where((F.col("ts") >= low - F.expr("INTERVAL 5 MINUTES")) & ((F.col("ts") < high) if i < BATCHES - 1 else F.lit(True)))
         part.coalesce(1).write.mode("append").parquet(path)
+    if late:
+        again = events.where((F.col("ts") < F.lit(ends["a"] + step)) & (F.col("event_id") % 50 == 0))
+        again.coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -904,7 +945,7 @@ def _(spark, sf_dir):
     return bronze.read_archive(spark, path)
 
 
-@query("stream_open_bars", f"WITH {CLEAN_SQL},{A.bars_sql('1 hour')} SELECT symbol, '1h' AS timeframe, {CANDLE_OUT}, CAST(NULL AS DOUBLE) AS atr FROM bars")
+@query("stream_open_bars", f"WITH {A.TICKS_SQL},{A.clean_sql('ticks')},{A.bars_sql('1 hour')} SELECT symbol, '1h' AS timeframe, {CANDLE_OUT}, CAST(NULL AS DOUBLE) AS atr FROM bars")
 def _(spark, sf_dir):
     """In update mode the ledger has every bar, those still forming too."""
     path = scratch_path(spark, "stream-ledger")
@@ -933,3 +974,18 @@ def _(spark, sf_dir):
         arriving, path, scratch_path(spark, "stream-checkpoint"), "1h", "1h", period=10_000, trim=False
     ).awaitTermination()
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+
+
+@query(
+    "stream_late_rows",
+    """SELECT count(*) AS late FROM events, (SELECT min(ts) AS a, max(ts) AS b FROM events)
+    WHERE event_id % 50 = 0 AND epoch_us(ts) < epoch_us(a) + (epoch_us(b) - epoch_us(a)) // 4""",
+)
+def _(spark, sf_dir):
+    """Ticks after the watermark are dropped, and counted."""
+    streaming.use_keyed_state(spark)
+    ticks = A.ticks_of_events(_arriving(spark, sf_dir, late=True))
+    bars = streaming.bar_stream(streaming.clean_stream(ticks, f"{DELAY_MINUTES} minutes"), "1h")
+    written = streaming.write_stream(bars, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint"))
+    written.awaitTermination()
+    return spark.createDataFrame([(streaming.late_rows(written),)], "late BIGINT")

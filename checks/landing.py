@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickbars.functions import columns as C
+from tickbars.schemas import SOURCE_TICKS
 from tickbars.sources.tickfiles import RECORD
 
 FILE_ROWS = 4096
@@ -78,6 +79,29 @@ def write_files(files: DataFrame, folder: str) -> None:
     files.select("path", "content").mapInArrow(write, "files BIGINT").agg(F.sum("files")).first()
 
 
+def write_hour_files(ticks: DataFrame, folder: str) -> None:
+    """Ticks as ``<folder>/<SYMBOL>/year=/month=/DD_HH.parquet``, and beside them a compacted file that must not be read."""
+
+    def write(table):
+        import pyarrow as pa
+        from pyarrow import fs, parquet
+
+        store, root = fs.FileSystem.from_uri(folder)
+        place, name = table.column("place")[0].as_py(), table.column("name")[0].as_py()
+        store.create_dir(f"{root}/{place}", recursive=True)
+        for file in (name, "compacted.parquet"):
+            with store.open_output_stream(f"{root}/{place}/{file}") as out:
+                parquet.write_table(table.drop_columns(["place", "name"]).sort_by("timestamp_utc"), out)
+        return pa.table({"files": pa.array([1], pa.int64())})
+
+    at = F.col("timestamp_utc")
+    named = ticks.select(
+        *SOURCE_TICKS.names, F.concat("symbol", F.date_format(at, "'/year='yyyy'/month='MM")).alias("place"),
+        F.date_format(at, "dd_HH'.parquet'").alias("name"),
+    )
+    named.groupBy("place", "name").applyInArrow(write, "files BIGINT").agg(F.sum("files")).first()
+
+
 def documents(candles: DataFrame) -> DataFrame:
     """Feed documents of hourly candles: one good and one unusable for each symbol and day.
 

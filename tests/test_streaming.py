@@ -155,3 +155,13 @@ def test_partial_candle_is_kept_on_request(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_batches_leave_no_scratch_tables(spark, tmp_path, pieces, monkeypatch):
+    monkeypatch.setattr("tickbars.session.shared_dir", lambda spark: str(tmp_path / "shared"))
+    ticks, parts = pieces
+    land, table, checkpoint = (str(tmp_path / n) for n in ("land", "archive", "checkpoint"))
+    for piece in parts:
+        piece.coalesce(1).write.mode("append").parquet(land)
+    S.write_archive(S.tick_stream(spark, land, 1), table, checkpoint).awaitTermination()
+    assert len(parts) > 1 and not list((tmp_path / "shared" / "tickbars").iterdir())

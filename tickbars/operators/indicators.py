@@ -23,7 +23,8 @@ def true_range(candles: DataFrame, col: str = "true_range") -> DataFrame:
     position, and the next one is measured against the last close there is.
     """
     require_columns(candles, ["bar_time", "bar_high", "bar_low", "bar_close"], "true_range")
-    priced = F.coalesce(~F.isnan(F.col("bar_high") + F.col("bar_low") + F.col("bar_close")), F.lit(False))
+    total = F.col("bar_high") + F.col("bar_low") + F.col("bar_close")
+    priced = total.isNotNull() & ~F.isnan(total)
     empty = candles.where(~priced).withColumn("position", F.lit(None).cast("long"))
     rows = with_previous(
         candles.where(priced), series_keys(candles), "bar_time", F.unix_seconds(F.col("bar_time")), ["bar_close"]
