@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import bpe, ctw, exact, license, mix, near, quality, records, splitters, suffix
+from tickbars.llm.shipping import ship
 from tickbars.session import scratch_path
 
 
@@ -19,6 +20,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
