@@ -49,7 +49,8 @@ BEFORE = PLACES - 1
 WIDTH = WINDOW + BEFORE
 HOT = 1 << 16
 CHUNK_BYTES = 16 << 20
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
+ROWS = 20_000  # suffixes laid out at a time
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -144,11 +145,11 @@ def suffix_runs(
     high = np.concatenate([most[warm], distance])
     runs = {}
     place, text = found.place[which], found.text[which]
-    # of suffixes alike, the earliest stays; a hundred thousand rows at a time bound the memory
+    # of suffixes alike, the earliest stays
     keys = np.empty(len(which), np.uint64)
     wide = np.concatenate([np.zeros(len(warm), bool), np.ones(len(each), bool)])
-    for at in range(0, len(which), 100_000):
-        part = slice(at, at + 100_000)
+    for at in range(0, len(which), ROWS):
+        part = slice(at, at + ROWS)
         # a hot window stands by itself; the others with all that is near
         rows = around(data, offsets, text[part], place[part], np.where(wide[part], low[part], 0), np.where(wide[part], high[part], BEFORE))
         keys[part] = _row_keys(rows) ^ words.mixed((low[part] * 256 + high[part]).astype(np.uint64))
@@ -234,6 +235,27 @@ def covered(runs: list[dict]) -> list[np.ndarray]:
     return [spans[steps[some, 0] == i] for i in range(len(runs))]
 
 
+def _runs_of(
+    spans: np.ndarray, offsets: np.ndarray, at: int, to: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts *at* to *to*: whether each byte is in a span, begins and ends of the runs of such bytes in the block of
+    the texts, and offsets of the texts into them.  *spans* (text, from, to) is ordered by text."""
+    low, size = offsets[at], int(offsets[to] - offsets[at])
+    some = spans[np.searchsorted(spans[:, 0], at) : np.searchsorted(spans[:, 0], to)]
+    begin = offsets[some[:, 0]] - low
+    edge = np.zeros(size + 1, np.int32)
+    np.add.at(edge, begin + some[:, 1], 1)
+    np.add.at(edge, begin + some[:, 2], -1)
+    gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
+    inside = np.zeros(size + 2, bool)
+    inside[1:-1] = gone
+    cut = np.zeros(size + 1, bool)
+    cut[offsets[at : to + 1] - low] = True
+    first = np.flatnonzero(gone & (~inside[:-2] | cut[:-1]))
+    last = np.flatnonzero(gone & (~inside[2:] | cut[1:])) + 1
+    return gone, first, last, np.searchsorted(first, offsets[at : to + 1] - low)
+
+
 def _order_ids(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
 
@@ -338,44 +360,41 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int
         spans[:, 1:] -= offsets[spans[:, 0]][:, None]
         return pa.table({
             "chunk": pa.array([chunk] * (len(runs) + 1), pa.int64()),
-            "bucket": pa.array([None, *runs], pa.int32()),
+            "bucket": pa.array([-1 - chunk, *runs], pa.int64()),  # spans already known pass by the buckets
             "body": pa.array([words.pack(spans.tobytes()), *map(pack_run, runs.values())], pa.binary()),
         })
 
-    sorted_runs = stored(
-        texts.groupBy("chunk").cogroup(told.groupBy("of_chunk")).applyInArrow(sort, "chunk long, bucket int, body binary"), "runs"
+    sorted_runs = texts.groupBy("chunk").cogroup(told.groupBy("of_chunk")).applyInArrow(
+        sort, "chunk long, bucket long, body binary"
     )
 
     def merge(of_bucket: pa.Table) -> pa.Table:
+        if of_bucket.column("bucket")[0].as_py() < 0:
+            return of_bucket.select(["chunk", "body"])
         runs = [unpack_run(b.as_py()) for b in of_bucket.column("body")]
         spans = [words.pack(np.ascontiguousarray(s, np.int64).tobytes()) for s in covered(runs)]
         return pa.table({"chunk": of_bucket.column("chunk"), "body": pa.array(spans, pa.binary())})
 
-    spans = sorted_runs.where("bucket is not null").groupBy("bucket").applyInArrow(merge, "chunk long, body binary")
-    every = spans.unionAll(sorted_runs.where("bucket is null").select("chunk", "body")).toDF("of_chunk", "body")
+    every = sorted_runs.groupBy("bucket").applyInArrow(merge, "chunk long, body binary").toDF("of_chunk", "body")
 
     def cut(of_chunk: pa.Table, found: pa.Table) -> pa.Table:
         data, offsets, ordered = _texts(of_chunk)
         parts = [np.frombuffer(words.unpack(b.as_py()), np.int64).reshape(-1, 3) for b in found.column("body")]
         spans = np.concatenate(parts or [np.empty((0, 3), np.int64)])
-        edge = np.zeros(len(data) + 1, np.int64)
-        begin = offsets[spans[:, 0]]
-        np.add.at(edge, begin + spans[:, 1], 1)
-        np.add.at(edge, begin + spans[:, 2], -1)
-        gone = np.cumsum(edge[:-1]) > 0
-        cut_at = np.zeros(len(data) + 1, bool)
-        cut_at[offsets] = True
-        before = np.concatenate([[False], gone[:-1]]) & ~cut_at[:-1] if len(data) else gone
-        after = np.concatenate([gone[1:], [False]]) & ~cut_at[1:] if len(data) else gone
-        first, last = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
-        of = np.searchsorted(first, offsets)
-        flat_from = pa.array(first - np.repeat(offsets[:-1], np.diff(of)))
-        flat_to = pa.array(last - np.repeat(offsets[:-1], np.diff(of)))
+        spans = spans[np.argsort(spans[:, 0], kind="stable")]
+        counts, removed, kept = [], [], []
+        for at, to in words.blocks(offsets, SEGMENT):
+            gone, begin, end, of = _runs_of(spans, offsets, at, to)
+            low = offsets[at]
+            counts.append(np.diff(of))
+            removed.append(np.stack([begin, end]) - np.repeat(offsets[at:to] - low, np.diff(of)))
+            cuts = (offsets[at : to + 1] - low).tolist()
+            kept += [data[low + a : low + b][~gone[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        begin, end = np.concatenate(removed, axis=1) if removed else np.empty((2, 0), np.int64)
+        edges = np.concatenate([[0], np.cumsum(np.concatenate(counts or [np.empty(0, np.int64)]))])
         lists = pa.ListArray.from_arrays(
-            pa.array(of.astype(np.int32)), pa.StructArray.from_arrays([flat_from, flat_to], names=["from", "to"])
+            pa.array(edges.astype(np.int32)), pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], names=["from", "to"])
         )
-        cuts = offsets.tolist()
-        kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.table({
             "doc_id": ordered.column("doc_id"), "n_bytes": pa.array(np.diff(offsets)), "spans": lists,
             "kept": pa.array(kept, pa.binary()),
