@@ -289,7 +289,7 @@ _atr_query("atr_14", 14, HOURLY_SQL, hourly)
 _atr_query("atr_1", 1, HOURLY_SQL, hourly)
 _atr_query("atr_3", 3, HOURLY_SQL, hourly)
 _atr_query("atr_short_series", 40, CLEAN_SQL + "," + A.bars_sql("1 day"), _daily)
-_atr_query("atr_shipments", 21, SHIPMENTS_SQL + "," + A.bars_sql("1 day"), _shipments_daily)
+_atr_query("atr_shipments", 21, SHIPMENTS_SQL + "," + A.bars_sql("1 day"), _shipments_daily, places=4)  # values near 10^5: ten digits agree
 
 # Every fifth hour has volume only.
 HOLLOW_SQL = f"""{HOURLY_SQL},
