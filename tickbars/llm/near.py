@@ -7,15 +7,17 @@ two registers are equal about as often as the sets are alike.
 
 1. Documents with one set are a class; its sketch stands for all.
 2. Bands of three registers are hashed; classes that share a band are candidates.
-   A bucket gives one pair for each member, with the bucket's smallest member.
+   A bucket gives one pair for each member, with the bucket's centre.
 3. The joint likelihood of the registers and the known set sizes bounds the
    similarity from above; what may reach the threshold is verified on full sets.
-4. Verified links give components.  Buckets that still hold several components are
-   paired across components (pairs tested before are left out) and tested alike, so
-   that no link between candidates is lost; then components are final.
+4. Verified links give components.  Classes in buckets that still hold several are
+   paired across components where they share one of their rarest shingles (a link
+   needs that, see ``pairs_across``) and tested alike, so that no link between
+   candidates is lost; then components are final.
 
 At similarity 0.75 a pair shares none of the 32 bands with probability 3e-8, and
-the bound on the estimate (0.5) lies over five standard errors below.
+the bound on the estimate (0.5) lies over five standard errors below.  Step 4 looks
+at classes with three such buckets or more; a pair shares fewer with probability 7e-6.
 
 Defined results: words are maximal runs of bytes that are not white space, A-Z in
 lower case.  Under five words the whole sequence is the one shingle; without words
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars.llm import rows, words
@@ -42,6 +44,8 @@ BANDS, BAND = 32, 3
 REGISTERS = BANDS * BAND
 BASE, RATE, TOP = 1.001, 20.0, 65534  # b, a and q + 1 of the registers
 BOUND = 0.5
+LEAST_BANDS = 3
+BROADCAST_NODES = 4_000_000
 PERCENT = 75  # linked when 100 * intersection >= PERCENT * union
 SKETCH = "row long, n_shingles long, set_a long, set_b long, sketch binary, packed binary"
 
@@ -191,6 +195,13 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
 
+def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of *texts* of some nodes.  Numbers of nodes are counted before they are broadcast; more than
+    BROADCAST_NODES (64 MB) are joined by a shuffle, of all texts then."""
+    nodes = stored(nodes.select("node").distinct(), "nodes")
+    return texts.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes, "node", "left_semi")
+
+
 def links(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) of classes that are linked: estimated from sketches, then verified on full sets."""
     side = lambda x: classes.select(
@@ -198,12 +209,86 @@ def links(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     )
     with_sketches = pairs.join(side("u"), "u").join(side("v"), "v")
     likely = stored(with_sketches.mapInArrow(_promising, "u long, v long"), "pairs")
-    nodes = likely.select(F.col("u").alias("node")).unionAll(likely.select(F.col("v").alias("node"))).distinct()
-    needed = stored(texts.join(nodes, "node", "left_semi"), "texts")
+    nodes = likely.select(F.col("u").alias("node")).unionAll(likely.select(F.col("v").alias("node")))
+    needed = stored(_texts_of(texts, nodes), "texts")
     text = lambda x: needed.select(F.col("node").alias(x), F.col("packed").alias(f"t{x}"))
     return likely.join(text("v"), "v").join(text("u"), "u").mapInArrow(_verified, "u long, v long")
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            part = batch.slice(at, 128)
+            bodies = [words.unpack(t.as_py()) for t in part.column("packed")]
+            sets = shingle_sets(np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([0, *map(len, bodies)]))
+            sizes = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(part.column("node").to_numpy(), sizes)), pa.array(np.concatenate(sets).view(np.int64))],
+                names=["node", "shingle"],
+            )
+
+
+def pairs_across(rest: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs (u, v) of nodes in different components of *rest* (key, node, component) that can be linked.
+
+    A link asks for PERCENT (|A| + |B|) / (100 + PERCENT) shingles in common, with
+    |B| at least that of the smallest node in A's buckets and at least PERCENT |A|
+    / 100.  A node that shares too few of its shingles with any other is out.  Of the
+    others, linked ones share one of their rarest shingles, so many that fewer than
+    asked for remain: copies of one text, changed here and there, have the changes in
+    front, and meet only where they were changed alike.
+    """
+    sizes = classes.select("node", "n_shingles")
+    least = rest.join(sizes, "node").groupBy("key").agg(F.min("n_shingles").alias("_least"))
+    nodes = rest.join(least, "key").groupBy("node").agg(
+        F.min("_least").alias("_least"), F.first("component").alias("component")
+    )
+    n = F.col("n_shingles")
+    partner = F.greatest(100 * F.col("_least"), PERCENT * n)  # in hundredths
+    asked = F.ceil(PERCENT * (100 * n + partner) / (100 * (100 + PERCENT))).cast("long")
+    bounded = stored(
+        nodes.join(sizes, "node").select("node", "component", "n_shingles", (n - asked).alias("spare")), "bounded"
+    )
+    shingles = _texts_of(texts, bounded).mapInArrow(_exploded, "node long, shingle long")
+    counts = shingles.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("_n"))
+    own = counts.where("_n = 1").groupBy("node").agg(F.count("*").alias("_own"))
+    left = F.col("spare") - F.coalesce("_own", F.lit(0))
+    able = bounded.join(own, "node", "left").where(left >= 0).select(
+        "node", "component", "n_shingles", (left + 1).alias("front"), F.coalesce("_own", F.lit(0)).alias("_own")
+    )
+    found = shingles.join(counts.where("_n > 1").select("shingle", "_n"), "shingle").join(able, "node")
+    rarest = F.row_number().over(Window.partitionBy("node").orderBy("_n", "shingle"))
+    front = found.withColumn("_at", rarest).where(F.col("_at") <= F.col("front")).select(
+        "shingle", "node", "component", "n_shingles", (n - F.col("_own") - F.col("_at")).alias("after")
+    )
+    front = stored(front, "fronts")
+    ends = front.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b")
+    front = front.join(ends.select("shingle"), "shingle", "left_semi")
+    other = front.toDF("shingle", "b", "cb", "nb", "after_b")
+    # from the first common one on, at most the shingles after it can be common
+    most = 1 + F.least("after", "after_b")
+    possible = (100 + PERCENT) * most >= PERCENT * (n + F.col("nb"))
+    return front.join(other, "shingle").where((F.col("component") < F.col("cb")) & possible).select(
+        F.least("node", "b").alias("u"), F.greatest("node", "b").alias("v")
+    ).distinct()
+
+
+def _several(labelled: DataFrame) -> DataFrame:
+    """The rows in buckets of several components."""
+    ends = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b")
+    return labelled.join(ends.select("key"), "key", "left_semi")
+
+
+def _shared_often(rest: DataFrame) -> DataFrame:
+    """The rows of nodes with at least LEAST_BANDS of them, in buckets that then still hold several components.
+
+    Linked sets share 13.5 of the 32 bands on average, and under three with
+    probability 7e-6 at similarity 0.75; chance meetings are of one band mostly.
+    """
+    often = rest.groupBy("node").agg(F.count("*").alias("_n")).where(F.col("_n") >= LEAST_BANDS)
+    return _several(rest.join(often.select("node"), "node", "left_semi"))
+
+
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and its text_key."""
     ids, table = sketches(docs, doc_id, text)
@@ -222,24 +307,29 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         lambda i: F.xxhash64(i, F.col("sketch").substr(i * width + 1, F.lit(width))),
     )
     banded = classes.select("node", F.explode(band).alias("key"))
-    shared = banded.groupBy("key").agg(F.min("node").alias("u"), F.count("*").alias("_n")).where("_n > 1").select("key", "u")
-    members = stored(banded.join(shared, "key").select("key", "u", F.col("node").alias("v")), "buckets")
-    stars = stored(members.where("u <> v").select("u", "v").distinct(), "stars")
+    shared = banded.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
+    members = stored(banded.join(shared, "key").select("key", "node", "_n"), "buckets")
+    # the centre of a bucket is the member with most company in all its buckets: near copies of
+    # one text are nearest to the least changed of them
+    company = members.groupBy("node").agg(F.sum("_n").alias("_company"))
+    centre = members.select("key", "node").join(company, "node").groupBy("key").agg(
+        F.max(F.struct("_company", F.negate("node").alias("u"))).alias("_best")
+    ).select("key", (-F.col("_best.u")).alias("centre"))
+    spokes = members.join(centre, "key").where("node <> centre")
+    stars = stored(
+        spokes.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct(), "stars"
+    )
     found = stored(links(stars, classes, texts), "links")
     labels = components(found)
 
     labelled = stored(
-        members.select("key", F.col("v").alias("node")).join(labels, "node", "left").select(
+        members.select("key", "node").join(labels, "node", "left").select(
             "key", "node", F.coalesce("component", "node").alias("component")
         ),
         "labelled",
     )
-    mixed_keys = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b")
-    rest = labelled.join(mixed_keys.select("key"), "key", "left_semi")
-    one = rest.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    two = rest.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    across = one.join(two, "key").where("ca < cb").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-    across = across.join(stars, ["u", "v"], "left_anti")
+    rest = stored(_shared_often(_shared_often(_several(labelled))), "several")
+    across = pairs_across(rest, classes, texts).join(stars, ["u", "v"], "left_anti")
     more = links(across, classes, texts)
     labels = stored(components(found.unionAll(more)), "components")
 
