@@ -39,7 +39,8 @@ from tickbars.llm.bpe import file_content
 from tickbars.session import stored
 
 END_ID = 2
-FILE_BYTES = 32 << 20  # of text in a file
+FILE_BYTES = 16 << 20  # of text in a file
+BATCH = 8192  # pieces for the library at a time
 HEAD = struct.Struct("<QI")
 LEAD = struct.Struct("<qBB")
 CHECK = struct.Struct("<I")
@@ -93,9 +94,13 @@ def _loaded(content: str) -> tuple[units.Encoder | None, object, int]:
         )
 
         def encode(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            lists = [x.ids for x in tokenizer.encode_batch_fast([f.decode() for f in found], add_special_tokens=False)]
-            lengths = np.array([len(x) for x in lists], np.int64)
-            return np.fromiter((i for x in lists for i in x), np.uint32, int(lengths.sum())), lengths
+            ids, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+            for at in range(0, len(found), BATCH):  # an encoding takes far more room than its ids
+                texts = [f.decode() for f in found[at : at + BATCH]]
+                lists = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                lengths.append(np.array([len(x) for x in lists], np.int64))
+                ids.append(np.fromiter((i for x in lists for i in x), np.uint32, int(lengths[-1].sum())))
+            return np.concatenate(ids), np.concatenate(lengths)
 
         width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         _ENCODERS[content] = units.Encoder(encode) if by_pieces else None, encode, width

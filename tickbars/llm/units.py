@@ -17,7 +17,7 @@ import numpy as np
 
 from tickbars.llm import words
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 HELD_PIECES = 1 << 20
 
 # Bytes that may follow the space: visible ASCII but "<", and the lead byte of U+00C0 to U+00FF.
@@ -59,8 +59,8 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.starts = np.empty(0, np.int64)
-        self.lengths = np.empty(0, np.int64)
+        self.starts = np.empty(0, np.uint32)
+        self.lengths = np.empty(0, np.uint32)
         self.ids = np.empty(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, found: list[bytes]) -> None:
@@ -68,8 +68,8 @@ class Encoder:
         starts = np.cumsum(lengths) - lengths + len(self.ids)
         order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
         self.keys = np.concatenate([self.keys, keys])[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.lengths = np.concatenate([self.lengths, lengths])[order]
+        self.starts = np.concatenate([self.starts, starts.astype(np.uint32)])[order]
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.uint32)])[order]
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +89,8 @@ class Encoder:
             self._learn(keys[~known], [flat[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
             place = np.searchsorted(self.keys, keys)
         place = place[which]
-        lengths = self.lengths[place]
-        ids = self.ids[spread(self.starts[place], lengths)]
+        lengths = self.lengths[place].astype(np.int64)
+        ids = self.ids[spread(self.starts[place].astype(np.int64), lengths)]
         return ids, np.concatenate([[0], np.cumsum(lengths)])[first]
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
