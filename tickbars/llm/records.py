@@ -40,7 +40,7 @@ from tickbars.session import stored
 
 END_ID = 2
 FILE_BYTES = 16 << 20  # of text in a file
-BATCH = 8192  # pieces for the library at a time
+BATCH = 4096  # pieces for the library at a time
 HEAD = struct.Struct("<QI")
 LEAD = struct.Struct("<qBB")
 CHECK = struct.Struct("<I")
@@ -77,7 +77,17 @@ def unframe(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
 _ENCODERS: dict[str, tuple[units.Encoder | None, object, int]] = {}
 
 
-def _loaded(content: str) -> tuple[units.Encoder | None, object, int]:
+def cut_by_pattern(content: str) -> bool:
+    """Whether a tokenizer file cuts texts by the byte-level pattern alone, so that pieces can be encoded apart."""
+    spec = json.loads(content)
+    cut = spec.get("pre_tokenizer") or {}
+    return (
+        spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+        and not cut.get("add_prefix_space") and all(t["content"].startswith("<") for t in spec["added_tokens"])
+    )
+
+
+def _loaded(content: str, by_pieces: bool) -> tuple[units.Encoder | None, object, int]:
     """The library's tokenizer and, where its pattern allows, an encoder over distinct pieces; width of an id."""
     if content not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
@@ -86,12 +96,6 @@ def _loaded(content: str) -> tuple[units.Encoder | None, object, int]:
         tokenizer = Tokenizer.from_str(content)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        spec = json.loads(content)
-        cut = spec.get("pre_tokenizer") or {}
-        by_pieces = (
-            spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
-            and not cut.get("add_prefix_space") and all(t["content"].startswith("<") for t in spec["added_tokens"])
-        )
 
         def encode(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             ids, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
@@ -107,8 +111,8 @@ def _loaded(content: str) -> tuple[units.Encoder | None, object, int]:
     return _ENCODERS[content]
 
 
-def _encoded(content: str, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    encoder, encode, _ = _loaded(content)
+def _encoded(content: str, by_pieces: bool, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    encoder, encode, _ = _loaded(content, by_pieces)
     data, offsets = words.text_bytes(texts)
     if encoder is not None:
         yield from encoder.texts(data, offsets)
@@ -125,7 +129,8 @@ def write(
 ) -> DataFrame:
     """Encode *docs* with the tokenizer file at *path*, write record and index files; a row for each file."""
     spark = docs.sparkSession
-    content = spark.sparkContext.broadcast(file_content(path))
+    spec = file_content(path)
+    content, by_pieces = spark.sparkContext.broadcast(spec), cut_by_pattern(spec)
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // file_bytes))
@@ -139,7 +144,7 @@ def write(
         store, base = fs.FileSystem.from_uri(folder)
         name, own = f"{base}/part-{part:08d}", f"{base}/_part-{part:08d}-{attempt}"
         out, index, offset, n_ids = None, [], 0, 0
-        width = _loaded(content.value)[2]
+        width = _loaded(content.value, by_pieces)[2]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -147,7 +152,7 @@ def write(
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{own}.rec")
             numbers = batch.column("doc_id").to_pylist()
-            for at, to, ids, edges in _encoded(content.value, batch.column("text")):
+            for at, to, ids, edges in _encoded(content.value, by_pieces, batch.column("text")):
                 cuts = edges.tolist()
                 frames = []
                 for i in range(at, to):
