@@ -68,3 +68,57 @@ def test_nearest_directory_above(spark):
 def test_empty(spark):
     docs = frame(spark, []).withColumn("path", F.lit("a/b"))
     assert license.scan(docs).count() == 0
+
+
+HEADER = """# Copyright (c) 2020 Jane Doe. All rights reserved.
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+"""
+
+
+def test_wrapped_inline_tagged_and_whole_notices(spark):
+    whole = dict(license.notices.texts())
+    sentence = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    apache = license.notices.NOTICES[15][1]
+    about = {
+        "wrapped": (f"{HEADER}{prose(1, 90)}", "GPL-3.0"),
+        "older": (f"{HEADER.replace('version 3', 'version 2')}{prose(2, 90)}", "GPL-2.0"),
+        "on one line": (f"// {apache} {prose(3, 60)}", "Apache-2.0"),
+        "inline": (prose(4, 40).replace("\n", " ") + f" {sentence} " + prose(5, 40).replace("\n", " "), "MIT"),
+        "title": (f"{prose(6, 9)} Mozilla Public License\nVersion 2.0 {prose(7, 30)}", "MPL-2.0"),
+        "reserved": ("Copyright (c) 2020 Jane Doe. All rights reserved.", "Proprietary"),
+        "tag": (f"// SPDX-License-Identifier: LGPL-2.1-or-later\n{prose(8, 50)}", "LGPL-2.1"),
+        "tag of another": (f"// SPDX-License-Identifier: Zlib\n{prose(9, 50)}", None),
+        "no notice": (prose(10, 300), None),
+        **{f"whole {name}": (f"Copyright (c) 2020, Jane Doe.\nAll rights reserved.\n\n{text}", name) for name, text in whole.items()},
+    }
+    padding = [(f"p/{i}.txt", prose(200 + i, 60)) for i in range(60)]
+    files = spark.createDataFrame([(k, text) for k, (text, _) in about.items()] + padding, "path string, text string")
+    got = {r.path: r.own_license for r in license.scan(files).collect()}
+    assert {k: got[k] for k in about} == {k: name for k, (_, name) in about.items()}
+    assert not any(got[k] for k, _ in padding)
+
+
+def test_windows_equal_scoring_every_window():
+    texts = [f"{prose(i, 30)}\n{n}\n{prose(i + 50, 20)}" for i, n in enumerate(NOTICES)] + [HEADER, "mit license"]
+    vocabulary = sorted({t for _, c in license.window_terms() for t in c})
+    held = [set(re.findall(license.TERM, t.lower())) for t in texts]
+    weights, rare = license.idf({t: sum(t in h for h in held) for t in vocabulary}, len(texts))
+    weight = lambda t: weights.get(t, rare)
+    norm = lambda v: math.sqrt(sum((k * weight(t)) ** 2 for t, k in v.items()))
+    windows = license.Windows(weights, rare)
+    for text in texts:
+        terms, best = re.findall(license.TERM, text.lower()), None
+        for name, counts in license.window_terms():
+            n = sum(counts.values())
+            least = license.SHORT_THRESHOLD if n < license.SHORT else license.THRESHOLD
+            for at in range(max(len(terms) - n, 0) + 1):
+                part = Counter(terms[at : at + n])
+                score = sum(k * counts[t] * weight(t) ** 2 for t, k in part.items()) / norm(part) / norm(counts)
+                if score >= least and (best is None or (name == "Proprietary", -score) < (best[0], best[1])):
+                    best = (name == "Proprietary", -score, name)
+        got = windows.best(text)
+        assert (got is None) == (best is None) and (best is None or got[1] == pytest.approx(-best[1], abs=2e-6))
