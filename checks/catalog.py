@@ -743,6 +743,27 @@ def _(spark, sf_dir):
     return cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct()).limit(1000)
 
 
+def _placed(ordered: DataFrame) -> DataFrame:
+    """The rows of a sorted frame with their ``place`` from 1 on.
+
+    Partitions of a global sort follow each other; the driver only sees how many rows each has.
+    """
+    low = 33  # monotonically_increasing_id has the partition above these bits
+    numbered = stored(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", low)
+    sizes = sorted(numbered.groupBy(part.alias("part")).count().collect())
+    before = [(r["part"], sum(x["count"] for x in sizes[:i])) for i, r in enumerate(sizes)]
+    starts = numbered.sparkSession.createDataFrame(before, "_part long, _before long")
+    at = F.col("_at").bitwiseAND(F.lit((1 << low) - 1))
+    return numbered.join(starts, part == F.col("_part")).withColumn("place", F.col("_before") + at + 1).drop("_at", "_part", "_before")
+
+
+@query("time_places", f"WITH {A.DIRTY_SQL} SELECT {TICK_OUT}, row_number() OVER (ORDER BY symbol, timestamp_utc, seq) AS place FROM (SELECT DISTINCT * FROM ticks_dirty)")
+def _(spark, sf_dir):
+    """All ticks by series and time, with their place."""
+    return _placed(cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct()))
+
+
 # --- the bar feed -----------------------------------------------------------------------------
 
 

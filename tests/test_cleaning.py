@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import adapters as A
+from checks.catalog import QUERIES
 from helpers import at, plan
 from tickbars.operators import cleaning
 from tickbars.schemas import TICKS
@@ -66,3 +68,11 @@ def test_time_order(spark):
     rows = [(at(f"2024-01-16T10:00:{s:02d}"), 1.0, 1.0, 0.0, 0.0, sym, s) for s in (5, 1, 3) for sym in "BA"]
     got = cleaning.in_time_order(spark.createDataFrame(rows, TICKS)).collect()
     assert [(r.symbol, r.seq) for r in got] == [("A", 1), ("A", 3), ("A", 5), ("B", 1), ("B", 3), ("B", 5)]
+
+
+def test_every_row_has_its_place_in_time_order(spark, sf_dir):
+    rows = QUERIES["time_places"](spark, sf_dir).collect()
+    assert len(rows) == A.ticks_dirty(spark, sf_dir).distinct().count() > 1000
+    rows.sort(key=lambda r: r.place)
+    assert [r.place for r in rows] == list(range(1, len(rows) + 1))
+    assert [(r.symbol, r.timestamp_utc, r.seq) for r in rows] == sorted((r.symbol, r.timestamp_utc, r.seq) for r in rows)
