@@ -105,3 +105,15 @@ def test_keys_of_ranges_differ_only_with_their_bytes():
     assert len(set(keys)) == len(set(parts)) == len(set(zip(keys, parts)))
     many = np.sort(np.array(rnd.sample(range(1 << 60), 500), np.uint64))
     assert (words.unpack_sorted(words.pack_sorted(many)) == many).all() and len(words.unpack_sorted(words.pack_sorted(many[:0]))) == 0
+
+
+def test_pairs_that_share_a_band_or_two_are_tested(spark, monkeypatch):
+    monkeypatch.setattr(near, "BANDS", 2)
+    base = prose(900, 400)
+    rows = []
+    for i in range(14):
+        one = edited(base, 1000 + i, 0.028)  # too far from its likes to be linked, near enough to meet them
+        rows += [(2 * i, one, "en", "a", 1), (2 * i + 1, edited(one, 2000 + i, 0.004), "en", "a", 1)]
+    got = {r.doc_id: r.component_id for r in near.dedup(frame(spark, rows)).collect()}
+    # all but the one pair that shares neither band
+    assert [i for i in range(14) if got[2 * i] != got[2 * i + 1]] == [11]

@@ -16,8 +16,7 @@ two registers are equal about as often as the sets are alike.
    candidates is lost; then components are final.
 
 At similarity 0.75 a pair shares none of the 32 bands with probability 3e-8, and
-the bound on the estimate (0.5) lies over five standard errors below.  Step 4 looks
-at classes with three such buckets or more; a pair shares fewer with probability 7e-6.
+the bound on the estimate (0.5) lies over five standard errors below.
 
 Defined results: words are maximal runs of bytes that are not white space, A-Z in
 lower case.  Under five words the whole sequence is the one shingle; without words
@@ -44,7 +43,6 @@ BANDS, BAND = 32, 3
 REGISTERS = BANDS * BAND
 BASE, RATE, TOP = 1.001, 20.0, 65534  # b, a and q + 1 of the registers
 BOUND = 0.5
-LEAST_BANDS = 3
 BROADCAST_NODES = 4_000_000
 PERCENT = 75  # linked when 100 * intersection >= PERCENT * union
 SKETCH = "row long, n_shingles long, set_a long, set_b long, sketch binary, packed binary"
@@ -279,16 +277,6 @@ def _several(labelled: DataFrame) -> DataFrame:
     return labelled.join(ends.select("key"), "key", "left_semi")
 
 
-def _shared_often(rest: DataFrame) -> DataFrame:
-    """The rows of nodes with at least LEAST_BANDS of them, in buckets that then still hold several components.
-
-    Linked sets share 13.5 of the 32 bands on average, and under three with
-    probability 7e-6 at similarity 0.75; chance meetings are of one band mostly.
-    """
-    often = rest.groupBy("node").agg(F.count("*").alias("_n")).where(F.col("_n") >= LEAST_BANDS)
-    return _several(rest.join(often.select("node"), "node", "left_semi"))
-
-
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and its text_key."""
     ids, table = sketches(docs, doc_id, text)
@@ -328,7 +316,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         ),
         "labelled",
     )
-    rest = stored(_shared_often(_shared_often(_several(labelled))), "several")
+    rest = stored(_several(labelled), "several")
     across = pairs_across(rest, classes, texts).join(stars, ["u", "v"], "left_anti")
     more = links(across, classes, texts)
     labels = stored(components(found.unionAll(more)), "components")
