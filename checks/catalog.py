@@ -722,6 +722,18 @@ def _(spark, sf_dir):
     return reduce(DataFrame.unionByName, read)
 
 
+@query("hour_files_whole", f"WITH {A.DIRTY_SQL} SELECT DISTINCT {SOURCE_OUT} FROM ticks_dirty")
+def _(spark, sf_dir):
+    """Hour files on disk, read back for all symbols and days there are."""
+    folder = scratch_path(spark, "hours")
+    ticks = A.ticks_dirty(spark, sf_dir)
+    landing.write_hour_files(ticks, folder)
+    day = F.to_date("timestamp_utc").cast("string")
+    found = ticks.groupBy("symbol").agg(F.min(day).alias("first"), F.max(day).alias("last")).collect()
+    read = [bronze.read_hour_files(spark, folder, r["symbol"], r["first"], r["last"]) for r in found]
+    return reduce(DataFrame.unionByName, read)
+
+
 @query("bars_of_path", f"WITH {HOURLY_SQL} SELECT symbol, {CANDLE_OUT} FROM bars")
 def _(spark, sf_dir):
     """Candles of a table given by its path."""

@@ -166,3 +166,11 @@ def test_last_delivery_of_a_bar_wins(spark, order):
     docs = spark.createDataFrame([("X", deliveries[i], times[i]) for i in order], "symbol string, body string, delivered_at timestamp")
     got = barfeed.latest_revision(barfeed.feed_bars(docs)).orderBy("timestamp_utc").collect()
     assert [(r.close, r.volume) for r in got] == [(2.5, 2.0), (4.0, 0.0)]
+
+
+def test_hour_files_of_all_symbols_and_days_come_back(spark, sf_dir):
+    from checks import adapters as A
+    from checks.catalog import QUERIES
+
+    names = [c for c in A.ticks_dirty(spark, sf_dir).columns if c != "seq"]
+    assert QUERIES["hour_files_whole"](spark, sf_dir).count() == A.ticks_dirty(spark, sf_dir).select(names).distinct().count()
