@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm import bpe, ctw, exact, license, mix, near, quality, records, splitters, suffix
+from tickbars.llm import bpe, ctw, exact, license, mix, near, quality, records, splitters, suffix, whitening
 from tickbars.llm.shipping import ship
 from tickbars.session import scratch_path
 
@@ -85,6 +85,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_license": op9_license,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {}
