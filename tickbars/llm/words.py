@@ -38,11 +38,13 @@ def blocks(offsets: np.ndarray, block_bytes: int = BLOCK_BYTES) -> Iterator[tupl
         at = to
 
 
-def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words in the texts, and len(texts) + 1 offsets into them."""
+def word_ranges(
+    data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = IS_WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words in the texts, and len(texts) + 1 offsets into them; *apart* marks bytes of no word."""
     inside = np.empty(len(data) + 2, bool)
     inside[0] = inside[-1] = False
-    np.logical_not(IS_WHITE[data], out=inside[1:-1])
+    np.logical_not(apart[data], out=inside[1:-1])
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True  # a word ends with its text
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
