@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm import bpe, ctw, exact, license, mix, near, quality, records, search, splitters, suffix, whitening
+from tickbars.llm import bpe, ctw, exact, license, mix, near, quality, records, search, splitters, suffix, webtext, whitening
 from tickbars.llm.shipping import ship
 from tickbars.session import scratch_path
 
@@ -89,6 +89,11 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return webtext.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license": op9_license,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_search": op11_search,
+    "op12_html": op12_html,
     "op13_whitening": op13_whitening,
 }
 
