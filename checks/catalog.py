@@ -18,7 +18,7 @@ from checks import landing
 from tickbars.functions import columns as C
 from tickbars.functions import sessions as S
 from tickbars.operators import bars as B
-from tickbars.operators import cleaning, gaps, indicators, ledger
+from tickbars.operators import carry, cleaning, gaps, indicators, ledger
 from tickbars.plans.market_run import backfill
 from tickbars.plans.market_run import live as live_run
 from tickbars.session import configure, scratch_path, stored
@@ -749,10 +749,10 @@ def _(spark, sf_dir):
     return cleaning.with_known_time(lost, "timestamp_utc")
 
 
-@query("time_order", f"WITH {A.DIRTY_SQL}, n AS (SELECT *, row_number() OVER (ORDER BY symbol, timestamp_utc, seq) AS place FROM (SELECT DISTINCT * FROM ticks_dirty)) SELECT {TICK_OUT} FROM n WHERE place <= 1000")
+@query("time_order", f"WITH {A.DIRTY_SQL} SELECT {TICK_OUT} FROM (SELECT DISTINCT * FROM ticks_dirty) ORDER BY symbol, timestamp_utc, seq")
 def _(spark, sf_dir):
-    """The first thousand ticks by series and time."""
-    return cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct()).limit(1000)
+    """All ticks by series and time."""
+    return cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct())
 
 
 def _placed(ordered: DataFrame) -> DataFrame:
@@ -824,7 +824,84 @@ def _(spark, sf_dir):
     until, since = F.lit("2024-01-21").cast("timestamp"), F.lit("2024-01-16").cast("timestamp")
     for window, now_ms in ((F.col("bar_time") < until, FIRST_WRITE), (F.col("bar_time") >= since, SECOND_WRITE)):
         docs = landing.documents(bars.where(window))
-        live.apply_documents(spark, docs, path, "1h", "4h", 14, now_ms)
+        live.apply_documents(spark, docs, path, "1h", "4h", 14, now_ms, alone=True)
+    return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+
+
+# However bars are cut into deliveries: candles of all bars, the first one only if whole, and one ATR over all of them.
+WHOLE_LIVE_SQL = f"""{CLEAN_SQL},{A.bars_sql('1 hour')},
+fed AS (SELECT * EXCLUDE (bar_volume), CASE WHEN day(bar_time) % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE bar_volume END AS bar_volume FROM bars),
+wide AS (SELECT symbol, time_bucket(INTERVAL '4 hours', bar_time) AS bar_time, arg_min(bar_open, bar_time) AS bar_open, max(bar_high) AS bar_high,
+  min(bar_low) AS bar_low, arg_max(bar_close, bar_time) AS bar_close, sum(bar_volume) AS bar_volume FROM fed GROUP BY 1, 2),
+kept AS (SELECT * FROM wide WHERE bar_time >= (SELECT min(bar_time) FROM fed f WHERE f.symbol = wide.symbol)),
+{A.atr_sql(14, 'kept')}"""
+
+
+def _deliveries(spark, sf_dir, *windows) -> DataFrame:
+    """The ledger after bars came in the given windows (SQL conditions on ``bar_time``), one after the other."""
+    path, bars = scratch_path(spark, "live-ledger"), stored(hourly(spark, sf_dir), "hourly")
+    for i, window in enumerate(windows):
+        docs = landing.documents(bars.where(window))
+        live.apply_documents(spark, docs, path, "1h", "4h", 14, FIRST_WRITE + i)
+    return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+
+
+@query("live_ledger_continued", f"WITH RECURSIVE {WHOLE_LIVE_SQL} SELECT symbol, '4h' AS timeframe, {PAGE_OUT} FROM with_atr")
+def _(spark, sf_dir):
+    """Overlapping deliveries; the second goes on with the first one's ATR, and the first comes again at the end."""
+    first, second = "bar_time < '2024-01-21'", "bar_time >= '2024-01-16'"
+    return _deliveries(spark, sf_dir, first, second, first)
+
+
+@query("live_ledger_cut_buckets", f"WITH RECURSIVE {WHOLE_LIVE_SQL} SELECT symbol, '4h' AS timeframe, {PAGE_OUT} FROM with_atr")
+def _(spark, sf_dir):
+    """Deliveries that do not overlap and end within a bucket, the last two in the wrong order."""
+    edges = ["2024-01-08 02:00", "2024-01-15 21:00", "2024-01-22 07:00"]
+    low = [f"bar_time >= '{e}'" for e in edges]
+    high = [f"bar_time < '{e}'" for e in edges]
+    return _deliveries(spark, sf_dir, high[0], f"{low[0]} AND {high[1]}", low[2], f"{low[1]} AND {high[2]}")
+
+
+CORRECTED_SQL = f"""{CLEAN_SQL},{A.bars_sql('1 hour')},
+corrected AS (SELECT * REPLACE (CASE WHEN dayofmonth(bar_time) IN (3, 17) AND hour(bar_time) = 9 THEN bar_high + 100 ELSE bar_high END AS bar_high)
+  FROM bars),
+{A.atr_sql(14, 'corrected')}"""
+
+
+@query("atr_after_correction", f"WITH RECURSIVE {CORRECTED_SQL} SELECT symbol, '1h' AS timeframe, {PAGE_OUT} FROM with_atr")
+def _(spark, sf_dir):
+    """Candles missing at first and candles corrected later; ATR is brought up to date from the month of the change on."""
+    path = scratch_path(spark, "corrected-ledger")
+    rows = stored(ledger.ledger_rows(hourly(spark, sf_dir), "1h"), "ledger-rows")
+    at = F.timestamp_millis("bar_time")
+    late = (F.dayofmonth(at) == 10) & (F.hour(at) == 5)
+    wrong = F.dayofmonth(at).isin(3, 17) & (F.hour(at) == 9)
+    right = rows.where(wrong).withColumn("bar_high", F.col("bar_high") + 100)
+    for i, part in enumerate([rows.where(~late), rows.where(late), stored(right, "corrections")]):
+        ledger.upsert_candles(spark, path, part, FIRST_WRITE + i)
+        carry.refresh_atr(spark, path, part.select("symbol", "timeframe", "bar_time"), 14, FIRST_WRITE + i)
+    return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+
+
+@query(
+    "atr_correction_over_years",
+    f"""WITH RECURSIVE {A.SHIPMENTS_SQL},{A.clean_sql('ticks_shipments')},{A.bars_sql('1 day')},
+    corrected AS (SELECT * REPLACE (CASE WHEN month(bar_time) = 2 AND day(bar_time) = 11 AND year(bar_time) IN (1993, 1997) THEN bar_low / 2 ELSE bar_low END AS bar_low)
+      FROM bars WHERE day(bar_time) <> 20 OR year(bar_time) <> 1995),
+    {A.atr_sql(3, 'corrected')} SELECT symbol, '1d' AS timeframe, {PAGE_OUT} FROM with_atr""",
+)
+def _(spark, sf_dir):
+    """Seven years of daily candles; a change of years ago is carried on only as far as it has weight."""
+    path = scratch_path(spark, "corrected-ledger")
+    daily = B.resample(cleaning.clean_ticks(A.ticks_shipments(spark, sf_dir)), "1d")
+    rows = stored(ledger.ledger_rows(daily.where("day(bar_time) <> 20 OR year(bar_time) <> 1995"), "1d"), "ledger-rows")
+    at = F.timestamp_millis("bar_time")
+    wrong = (F.month(at) == 2) & (F.dayofmonth(at) == 11) & F.year(at).isin(1993, 1997)
+    right = stored(rows.where(wrong).withColumn("bar_low", F.col("bar_low") / 2), "corrections")
+    second = F.year(at) == 1994
+    for i, part in enumerate([rows.where(~second), rows.where(second), right.where(F.year(at) == 1993), right.where(F.year(at) == 1997)]):
+        ledger.upsert_candles(spark, path, part, FIRST_WRITE + i)
+        carry.refresh_atr(spark, path, part.select("symbol", "timeframe", "bar_time"), 3, FIRST_WRITE + i)
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 
 
@@ -907,23 +984,30 @@ bars AS (SELECT * FROM all_bars WHERE bar_time + INTERVAL 1 HOUR <=
 BATCHES = 4
 
 
+def _in_parts(parts: list[DataFrame]) -> DataFrame:
+    """The rows of *parts* as a stream, a part to a micro-batch; each part is as many files as its scan has tasks."""
+    spark, schema, path = parts[0].sparkSession, parts[0].schema, scratch_path(parts[0].sparkSession, "arriving")
+    files = max(2, *[part.rdd.getNumPartitions() for part in parts])
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def _arriving(spark, sf_dir, late: bool = False) -> DataFrame:
-    """``events`` as a stream of BATCHES files, one to a micro-batch, each with the last five minutes of the one before again.
+    """``events`` as a stream of BATCHES micro-batches, each with the last five minutes of the one before again.
 
-    *late* adds a last file, of every fiftieth event of the first.
+    *late* adds a last batch, of every fiftieth event of the first.
     """
     events = A.table(spark, sf_dir, "events")
     ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     step = (ends["b"] - ends["a"]) / BATCHES
-    path = scratch_path(spark, "arriving")
+    parts = []
     for i in range(BATCHES):
         low, high = F.lit(ends["a"] + i * step), F.lit(ends["a"] + (i + 1) * step)
-        part = events.where((F.col("ts") >= low - F.expr("INTERVAL 5 MINUTES")) & ((F.col("ts") < high) if i < BATCHES - 1 else F.lit(True)))
-        part.coalesce(1).write.mode("append").parquet(path)
+        parts.append(events.where((F.col("ts") >= low - F.expr("INTERVAL 5 MINUTES")) & ((F.col("ts") < high) if i < BATCHES - 1 else F.lit(True))))
     if late:
-        again = events.where((F.col("ts") < F.lit(ends["a"] + step)) & (F.col("event_id") % 50 == 0))
-        again.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        parts.append(events.where((F.col("ts") < F.lit(ends["a"] + step)) & (F.col("event_id") % 50 == 0)))
+    return _in_parts(parts)
 
 
 def _stream_ticks(spark, sf_dir) -> DataFrame:
@@ -991,20 +1075,19 @@ def _(spark, sf_dir):
 @query(
     "stream_live_ledger",
     f"""WITH RECURSIVE {CLEAN_SQL},{A.bars_sql('1 hour')}, fed AS (SELECT * EXCLUDE (bar_volume),
-      CASE WHEN day(bar_time) % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE bar_volume END AS bar_volume FROM bars)
-    SELECT symbol, '1h' AS timeframe, {CANDLE_OUT}, CAST(NULL AS DOUBLE) AS atr FROM fed""",
+      CASE WHEN day(bar_time) % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE bar_volume END AS bar_volume FROM bars),
+    {A.atr_sql(14, 'fed')} SELECT symbol, '1h' AS timeframe, {PAGE_OUT} FROM with_atr""",
 )
 def _(spark, sf_dir):
-    """Documents of single days land one batch after the other; a day alone is too short for an average of 25."""
-    path, folder = scratch_path(spark, "stream-live"), scratch_path(spark, "stream-documents")
+    """Documents of single days land in four batches; ATR goes on from batch to batch."""
+    path = scratch_path(spark, "stream-live")
     docs = stored(landing.documents(hourly(spark, sf_dir)), "documents")
-    edges = [F.lit(f"2024-01-{d:02d}").cast("timestamp") for d in (1, 9, 17, 25)] + [F.lit("2100-01-01").cast("timestamp")]
-    for low, high in zip(edges, edges[1:]):
-        part = docs.where((F.col("delivered_at") >= low) & (F.col("delivered_at") < high))
-        part.coalesce(1).write.mode("append").parquet(folder)
-    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    ends = docs.agg(F.min("delivered_at").alias("a"), F.max("delivered_at").alias("b")).first()
+    step = (ends["b"] - ends["a"]) / BATCHES
+    low = [F.col("delivered_at") >= F.lit(ends["a"] + i * step) for i in range(BATCHES)]
+    parts = [docs.where(low[i] & (~low[i + 1] if i + 1 < BATCHES else F.lit(True))) for i in range(BATCHES)]
     live.write_live(
-        arriving, path, scratch_path(spark, "stream-checkpoint"), "1h", "1h", period=10_000, trim=False
+        _in_parts(parts), path, scratch_path(spark, "stream-checkpoint"), "1h", "1h", period=14, trim=False
     ).awaitTermination()
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as registered
+from checks.catalog import ORACLES, QUERIES
 from checks.compare import connect, difference
 
-NAMES = sorted(registered.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +16,11 @@ def duck(sf_dir):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(name, spark, sf_dir, duck):
-    got = registered.queries()[name](spark, sf_dir).toPandas()
-    sql = registered.oracle_sql().get(name)
-    assert sql, f"{name} has no SQL"
-    assert difference(got, duck.execute(sql).df()) is None
+    assert difference(QUERIES[name](spark, sf_dir).toPandas(), duck.execute(ORACLES[name]).df()) is None
+
+
+def test_all_are_registered():
+    assert QUERIES.items() <= registered.queries().items() and ORACLES.items() <= registered.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):

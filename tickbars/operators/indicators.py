@@ -35,52 +35,64 @@ def true_range(candles: DataFrame, col: str = "true_range") -> DataFrame:
     return ranged.drop("previous_bar_close").unionByName(empty.withColumn(col, F.lit(None).cast("double")))
 
 
-def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr") -> DataFrame:
-    """Add Wilder's average true range; NULL for the first ``period - 1`` candles with prices.
-
-    A candle without prices has no average and leaves the recurrence as it is.
+def atr_levels(candles: DataFrame, period: int = 14, carry: DataFrame | None = None) -> DataFrame:
+    """Candles with prices, their ``position`` in the series and the ``level`` of Wilder's recurrence there.
 
     The recurrence ``y = a * y' + TR / n`` with ``a = (n - 1) / n``, started from
     the mean of the first n ranges, is the weighted sum
 
         y_i = sum over k <= i of TR_k / n * a ** (e_i - e_k),  e_i = max(0, position_i - n)
 
-    because the first n candles share exponent 0.  It is summed in blocks of
+    because the first n candles share exponent 0.  Before position n the level is
+    that sum so far, and no average yet.  It is summed in blocks of
     exponents: a running sum inside the block, plus what earlier blocks hand
     over.  A block holds at most ``length + n`` candles, so no task holds a
     whole series.  A block ``reach`` back has a weight below the smallest
     double, so folding the last ``reach`` block totals is exact.
 
+    *carry* continues series that began before *candles*: for each (``bars``,
+    ``last_close``, ``level``), where it stood at the candle before.  It takes part in
+    the sum as one more candle, at position ``bars`` and with the level as its share.
+
     *candles* is read several times: pass a stored table of bars.
     """
     if period < 1:
         raise ValueError(f"period must be positive, got {period}")
-    columns = [c for c in candles.columns if c != col]
-    keys = series_keys(candles)
-    rows = true_range(candles.select(*columns), "_tr")
+    columns = candles.columns
+    series = series_keys(candles)
+    rows = true_range(candles, "_tr").where(F.col("position").isNotNull()).withColumns(known_keys(series))
+    keys = list(known_keys(series))
+    if carry is not None:
+        stood = carry.withColumns(known_keys(series)).select(
+            *keys, F.col("bars").alias("_bars"), F.col("last_close").alias("_close"), F.col("level").alias("_level")
+        )
+        first = (F.col("position") == 1) & F.col("_close").isNotNull()
+        high, low, last = F.col("bar_high"), F.col("bar_low"), F.col("_close")
+        joined = F.greatest(high - low, F.abs(high - last), F.abs(low - last))
+        rows = rows.join(stood, keys, "left").select(
+            *columns, *keys, F.when(first, joined).otherwise(F.col("_tr")).alias("_tr"),
+            (F.col("position") + F.coalesce("_bars", F.lit(0))).alias("position"),
+        )
     if period == 1:
-        return rows.select(*columns, F.col("_tr").alias(col))
+        return rows.select(*columns, "position", F.col("_tr").alias("level"))
+    rows = rows.select(*columns, *keys, "position", (F.col("_tr") / period).alias("_share"), F.lit(True).alias("_own"))
+    if carry is not None:
+        before = stood.where("_bars > 0").select(
+            *keys, F.col("_bars").cast("long").alias("position"), F.col("_level").alias("_share"), F.lit(False).alias("_own")
+        )
+        rows = rows.unionByName(before, allowMissingColumns=True)
 
-    empty = rows.where(F.col("position").isNull()).select(*columns, F.lit(None).cast("double").alias(col))
-    rows = rows.where(F.col("position").isNotNull()).withColumns(known_keys(keys))
-    keys = list(known_keys(keys))
     decay = (period - 1) / period
     length = max(256, 64 * period)
     reach = math.ceil(_UNDERFLOW / (length * -math.log(decay)))
-
     step = F.greatest(F.col("position") - period, F.lit(0))
     rows = rows.select(
-        *columns,
-        *keys,
-        "position",
-        (F.col("_tr") / period).alias("_share"),
-        F.floor(step / length).alias("_block"),
-        (step % length).cast("double").alias("_power"),
+        "*", F.floor(step / length).alias("_block"), (step % length).cast("double").alias("_power")
     )
 
     running = Window.partitionBy(*keys, "_block").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     grown = F.sum(F.col("_share") * F.pow(F.lit(decay), -F.col("_power"))).over(running)
-    local = rows.withColumn("_local", grown * F.pow(F.lit(decay), F.col("_power")))
+    local = rows.withColumn("_local", grown * F.pow(F.lit(decay), F.col("_power"))).where("_own")
 
     total = F.sum(F.col("_share") * F.pow(F.lit(decay), F.lit(length - 1.0) - F.col("_power")))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(-reach, -1)
@@ -97,9 +109,22 @@ def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr") -> DataF
         )
     )
     value = F.col("_local") + F.pow(F.lit(decay), F.col("_power") + 1) * F.col("_handed")
-    return local.join(handed, [*keys, "_block"]).select(
-        *columns, F.when(F.col("position") >= period, value).alias(col)
-    ).unionByName(empty)
+    return local.join(handed, [*keys, "_block"]).select(*columns, "position", value.alias("level"))
+
+
+def compute_atr(candles: DataFrame, period: int = 14, col: str = "atr", carry: DataFrame | None = None) -> DataFrame:
+    """Add Wilder's average true range; NULL for the first ``period - 1`` candles with prices.
+
+    A candle without prices has no average and leaves the recurrence as it is.  *carry*
+    continues a series (see :func:`atr_levels`).  *candles* is read several times: pass a
+    stored table of bars.
+    """
+    columns = [c for c in candles.columns if c != col]
+    plain = candles.select(*columns)
+    ready = F.when(F.col("position") >= period, F.col("level"))
+    total = F.col("bar_high") + F.col("bar_low") + F.col("bar_close")
+    empty = plain.where(total.isNull() | F.isnan(total)).select(*columns, F.lit(None).cast("double").alias(col))
+    return atr_levels(plain, period, carry).select(*columns, ready.alias(col)).unionByName(empty)
 
 
 def price_change(candles: DataFrame) -> DataFrame:

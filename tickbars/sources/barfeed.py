@@ -75,8 +75,8 @@ def feed_bars(documents: DataFrame) -> DataFrame:
     ).select(*BARS.names, *extra)
 
 
-def latest_revision(bars: DataFrame) -> DataFrame:
-    """One row for each (symbol, time): the bar delivered last.
+def newest_revision(bars: DataFrame) -> DataFrame:
+    """One row for each (symbol, time): the bar delivered last, with its ``delivered_at``.
 
     Overlapping deliveries repeat bars, and a bar that was still forming comes
     again with other values.
@@ -86,7 +86,11 @@ def latest_revision(bars: DataFrame) -> DataFrame:
     newest = F.struct("delivered_at", "volume", "high", F.negate("low").alias("low"), "close", "open")
     return (
         bars.groupBy("symbol", "timestamp_utc")
-        .agg(F.max_by(F.struct(*values), newest).alias("bar"))
-        .select("timestamp_utc", *[F.col(f"bar.{c}").alias(c) for c in values], "symbol")
-        .select(*BARS.names)
+        .agg(F.max_by(F.struct(*values), newest).alias("bar"), F.max("delivered_at").alias("delivered_at"))
+        .select("timestamp_utc", *[F.col(f"bar.{c}").alias(c) for c in values], "symbol", "delivered_at")
     )
+
+
+def latest_revision(bars: DataFrame) -> DataFrame:
+    """:func:`newest_revision` as plain bars."""
+    return newest_revision(bars).select(*BARS.names)

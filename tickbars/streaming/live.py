@@ -2,6 +2,11 @@
 
 Every delivery repeats recent bars, and the newest bar is still forming.  The
 merge by key makes that harmless: a batch applied twice gives the same table.
+
+A delivery starts and ends anywhere.  So the bars themselves are kept, each in its
+newest revision, and a candle is made anew from all bars of its bucket whenever one of
+them comes; its ATR goes on from the candles before (``operators.carry``).  The ledger
+then is the same however the bars were cut into deliveries.
 """
 
 from __future__ import annotations
@@ -10,22 +15,30 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickbars.functions.timeframes import check_divides
+from tickbars.functions.timeframes import check_divides, window_args
 from tickbars.operators.bars import bars_to_ticks, resample
+from tickbars.operators.carry import refresh_atr
 from tickbars.operators.cleaning import clean_ticks
 from tickbars.operators.indicators import compute_atr
 from tickbars.operators.ledger import Upserted, ledger_rows, upsert_candles
-from tickbars.session import discard, stored
-from tickbars.sources.barfeed import document_columns, feed_bars, latest_revision
+from tickbars.schemas import BARS, LEDGER_KEY
+from tickbars.session import discard, require_utc, stored
+from tickbars.sources.barfeed import document_columns, feed_bars, latest_revision, newest_revision
+from tickbars.sources.versions import VersionedTable
+
+FILES_PER_BATCH = 10_000
+KEPT_BARS = T.StructType(
+    [f for f in BARS.fields if f.name != "symbol"]
+    + [T.StructField("delivered_at", T.TimestampType()), T.StructField("symbol", T.StringType()), T.StructField("day", T.StringType())]
+)
 
 
-def document_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
-    """New feed documents as they land below *root*."""
+def document_stream(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """New feed documents as they land below *root*, at most *files_per_batch* at a time."""
     reader = spark.readStream.option("wholetext", "true").option("pathGlobFilter", "*.json")
-    reader = reader.option("recursiveFileLookup", "true")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
     return document_columns(reader.text(root))
 
 
@@ -56,26 +69,88 @@ def live_candles(documents: DataFrame, fetch_interval: str, timeframe: str, peri
     return compute_atr(_candles_without_atr(live_ticks(documents), timeframe, trim), period)
 
 
+def bar_table(ledger_path: str) -> VersionedTable:
+    """The bars a feed has delivered, each in its newest revision, by symbol and day."""
+    return VersionedTable(f"{ledger_path.rstrip('/')}_bars", KEPT_BARS, ("symbol", "day"))
+
+
+def keep_bars(spark: SparkSession, bars: DataFrame, ledger_path: str) -> None:
+    """Merge delivered bars (with ``delivered_at``) into the bar table; only days they touch are rewritten.
+
+    Taking the newest revision is associative and a repeat changes nothing, so the
+    deliveries may overlap, repeat and come in any order.  *bars* is read more than once.
+    """
+    require_utc(spark)
+    table = bar_table(ledger_path)
+    fresh = bars.withColumn("day", F.date_format("timestamp_utc", "yyyy-MM-dd")).select(*KEPT_BARS.names)
+    touched = fresh.select("symbol", "day").distinct()
+    edges = touched.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+    if edges["a"] is None:
+        return
+    old = table.read(spark).where(F.col("day").between(edges["a"], edges["b"])).join(touched, ["symbol", "day"], "left_semi")
+    both = newest_revision(old.unionByName(fresh)).withColumn("day", F.date_format("timestamp_utc", "yyyy-MM-dd"))
+    table.replace(both.select(*KEPT_BARS.names).hint("rebalance", "symbol", "day"))
+
+
+def touched_candles(spark: SparkSession, bars: DataFrame, ledger_path: str, timeframe: str, trim: bool = True) -> DataFrame:
+    """Candles of every bucket that *bars* fall in, from all kept bars of those buckets.
+
+    With *trim* a bucket that begins before the first bar ever kept of its symbol is left
+    out: only history knows all of it.
+    """
+    bucket = F.window("timestamp_utc", **window_args(timeframe))
+    buckets = stored(bars.select("symbol", bucket.alias("_bucket")).distinct(), "live-buckets")
+    edges = buckets.agg(
+        F.date_format(F.min("_bucket.start"), "yyyy-MM-dd").alias("a"), F.date_format(F.max("_bucket.end"), "yyyy-MM-dd").alias("b")
+    ).first()
+    table = bar_table(ledger_path)
+    kept = table.read(spark)
+    within = kept.where(F.col("day").between(edges["a"], edges["b"])).withColumn("_bucket", bucket)
+    ticks = bars_to_ticks(within.join(buckets, ["symbol", "_bucket"], "left_semi").select(*BARS.names))
+    candles = resample(clean_ticks(ticks), timeframe)
+    if not trim:
+        return candles
+    symbols = buckets.select("symbol").distinct()
+    oldest = table.manifest(spark).join(symbols, "symbol", "left_semi").groupBy("symbol").agg(F.min("day").alias("day"))
+    first = kept.join(oldest, ["symbol", "day"], "left_semi").groupBy("symbol").agg(F.min("timestamp_utc").alias("_first"))
+    return candles.join(first, "symbol").where("bar_time >= _first").drop("_first")
+
+
 def apply_documents(spark: SparkSession, documents: DataFrame, ledger_path: str, fetch_interval: str,
-                    timeframe: str, period: int, now_ms: int, trim: bool = True) -> Upserted:
-    """One batch of documents into the ledger."""
+                    timeframe: str, period: int, now_ms: int, trim: bool = True, alone: bool = False) -> Upserted:
+    """One batch of documents into the ledger.
+
+    The bars join those kept before, touched candles are made anew, and ATR goes on from
+    the candles before them.  With *alone* the batch is taken as all there is: candles
+    and ATR come from its own bars only, and nothing is kept beside the ledger.
+    """
     check_divides(fetch_interval, timeframe)
-    ticks = live_ticks(documents)
-    candles = _candles_without_atr(ticks, timeframe, trim)
-    rows = stored(ledger_rows(compute_atr(candles, period), timeframe), "live-ledger-rows")
+    if alone:
+        ticks = live_ticks(documents)
+        candles = _candles_without_atr(ticks, timeframe, trim)
+        rows = stored(ledger_rows(compute_atr(candles, period), timeframe), "live-ledger-rows")
+        written = upsert_candles(spark, ledger_path, rows, now_ms)
+        discard(ticks, candles, rows)
+        return written
+    bars = stored(newest_revision(feed_bars(documents)), "live-bars")
+    if bars.isEmpty():
+        return Upserted(0, 0)
+    keep_bars(spark, bars, ledger_path)
+    rows = stored(ledger_rows(touched_candles(spark, bars, ledger_path, timeframe, trim), timeframe), "live-ledger-rows")
     written = upsert_candles(spark, ledger_path, rows, now_ms)
-    discard(ticks, candles, rows)
+    refresh_atr(spark, ledger_path, rows.select(*LEDGER_KEY), period, now_ms)
+    discard(bars, rows)
     return written
 
 
 def write_live(documents: DataFrame, ledger_path: str, checkpoint: str, fetch_interval: str = "1min",
-               timeframe: str = "5min", period: int = 14, trim: bool = True, clock=time.time):
+               timeframe: str = "5min", period: int = 14, trim: bool = True, clock=time.time, alone: bool = False):
     """Start the query that keeps the ledger up to date with a document stream."""
     check_divides(fetch_interval, timeframe)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         apply_documents(
-            batch.sparkSession, batch, ledger_path, fetch_interval, timeframe, period, int(clock() * 1000), trim
+            batch.sparkSession, batch, ledger_path, fetch_interval, timeframe, period, int(clock() * 1000), trim, alone
         )
 
     return (
