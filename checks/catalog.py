@@ -7,7 +7,6 @@ neither timestamp types nor the order of a sum can cause a false difference.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -487,7 +486,7 @@ def _lose_driver(rows: DataFrame, path: str) -> None:
     lost = rows.withColumn("bar_month", ledger.bar_month(F.col("bar_time"))).limit(5)
     lost = lost.withColumns({"version": F.lit(version), "ingested_at": F.lit(0), "last_updated_at": F.lit(0)})
     lost.write.mode("append").partitionBy("version", *table.partitions).parquet(path)
-    half = lost.select(*table.partitions, "version").distinct()
+    half = lost.select(*table.partitions, "version", F.lit(False).alias("added")).distinct()
     half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/_manifests/{version}")
 
 
@@ -712,26 +711,24 @@ def _(spark, sf_dir):
 SOURCE_OUT = TICK_OUT.removesuffix(", seq")
 
 
-@query("hour_files", f"WITH {A.DIRTY_SQL} SELECT DISTINCT {SOURCE_OUT} FROM ticks_dirty WHERE timestamp_utc >= TIMESTAMP '2024-01-05' AND timestamp_utc < TIMESTAMP '2024-01-26'")
+@query("hour_files_range", f"WITH {A.DIRTY_SQL} SELECT DISTINCT {SOURCE_OUT} FROM ticks_dirty WHERE timestamp_utc >= TIMESTAMP '2024-01-05' AND timestamp_utc < TIMESTAMP '2024-01-26'")
 def _(spark, sf_dir):
-    """Hour files on disk, read symbol by symbol for a range of days."""
+    """Hour files on disk, read for a range of days and a list of symbols."""
     folder = scratch_path(spark, "hours")
     landing.write_hour_files(A.ticks_dirty(spark, sf_dir), folder)
     names = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
-    read = [bronze.read_hour_files(spark, folder, name, "2024-01-05", "2024-01-25") for name in names]
-    return reduce(DataFrame.unionByName, read)
+    return bronze.read_hour_files(spark, folder, names, "2024-01-05", "2024-01-25")
 
 
 @query("hour_files_whole", f"WITH {A.DIRTY_SQL} SELECT DISTINCT {SOURCE_OUT} FROM ticks_dirty")
 def _(spark, sf_dir):
-    """Hour files on disk, read back for all symbols and days there are."""
+    """Hour files on disk, all symbols and days there are in one scan."""
     folder = scratch_path(spark, "hours")
     ticks = A.ticks_dirty(spark, sf_dir)
     landing.write_hour_files(ticks, folder)
     day = F.to_date("timestamp_utc").cast("string")
-    found = ticks.groupBy("symbol").agg(F.min(day).alias("first"), F.max(day).alias("last")).collect()
-    read = [bronze.read_hour_files(spark, folder, r["symbol"], r["first"], r["last"]) for r in found]
-    return reduce(DataFrame.unionByName, read)
+    ends = ticks.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return bronze.read_hour_files(spark, folder, None, ends["first"], ends["last"])
 
 
 @query("bars_of_path", f"WITH {HOURLY_SQL} SELECT symbol, {CANDLE_OUT} FROM bars")
@@ -824,7 +821,7 @@ def _(spark, sf_dir):
     until, since = F.lit("2024-01-21").cast("timestamp"), F.lit("2024-01-16").cast("timestamp")
     for window, now_ms in ((F.col("bar_time") < until, FIRST_WRITE), (F.col("bar_time") >= since, SECOND_WRITE)):
         docs = landing.documents(bars.where(window))
-        live.apply_documents(spark, docs, path, "1h", "4h", 14, now_ms, alone=True)
+        live.apply_documents(spark, docs, path, "1h", "4h", 14, now_ms)
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 
 
@@ -837,12 +834,12 @@ kept AS (SELECT * FROM wide WHERE bar_time >= (SELECT min(bar_time) FROM fed f W
 {A.atr_sql(14, 'kept')}"""
 
 
-def _deliveries(spark, sf_dir, *windows) -> DataFrame:
+def _live_deliveries(spark, sf_dir, *windows) -> DataFrame:
     """The ledger after bars came in the given windows (SQL conditions on ``bar_time``), one after the other."""
     path, bars = scratch_path(spark, "live-ledger"), stored(hourly(spark, sf_dir), "hourly")
     for i, window in enumerate(windows):
         docs = landing.documents(bars.where(window))
-        live.apply_documents(spark, docs, path, "1h", "4h", 14, FIRST_WRITE + i)
+        live.apply_documents(spark, docs, path, "1h", "4h", 14, FIRST_WRITE + i, continued=True)
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 
 
@@ -850,7 +847,7 @@ def _deliveries(spark, sf_dir, *windows) -> DataFrame:
 def _(spark, sf_dir):
     """Overlapping deliveries; the second goes on with the first one's ATR, and the first comes again at the end."""
     first, second = "bar_time < '2024-01-21'", "bar_time >= '2024-01-16'"
-    return _deliveries(spark, sf_dir, first, second, first)
+    return _live_deliveries(spark, sf_dir, first, second, first)
 
 
 @query("live_ledger_cut_buckets", f"WITH RECURSIVE {WHOLE_LIVE_SQL} SELECT symbol, '4h' AS timeframe, {PAGE_OUT} FROM with_atr")
@@ -859,7 +856,7 @@ def _(spark, sf_dir):
     edges = ["2024-01-08 02:00", "2024-01-15 21:00", "2024-01-22 07:00"]
     low = [f"bar_time >= '{e}'" for e in edges]
     high = [f"bar_time < '{e}'" for e in edges]
-    return _deliveries(spark, sf_dir, high[0], f"{low[0]} AND {high[1]}", low[2], f"{low[1]} AND {high[2]}")
+    return _live_deliveries(spark, sf_dir, high[0], f"{low[0]} AND {high[1]}", low[2], f"{low[1]} AND {high[2]}")
 
 
 CORRECTED_SQL = f"""{CLEAN_SQL},{A.bars_sql('1 hour')},
@@ -1087,7 +1084,7 @@ def _(spark, sf_dir):
     low = [F.col("delivered_at") >= F.lit(ends["a"] + i * step) for i in range(BATCHES)]
     parts = [docs.where(low[i] & (~low[i + 1] if i + 1 < BATCHES else F.lit(True))) for i in range(BATCHES)]
     live.write_live(
-        _in_parts(parts), path, scratch_path(spark, "stream-checkpoint"), "1h", "1h", period=14, trim=False
+        _in_parts(parts), path, scratch_path(spark, "stream-checkpoint"), "1h", "1h", period=14, trim=False, continued=True
     ).awaitTermination()
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 

@@ -90,7 +90,7 @@ def refresh_atr(spark: SparkSession, ledger_path: str, changed: DataFrame, perio
     spans = stored(_spans(changed.select(*LEDGER_KEY), old, period), "carry-spans")
 
     first = spans.agg(F.min("first_month").alias("m")).first()["m"]
-    ledger = ledger_table(ledger_path).read(spark).where(F.col("bar_month") >= first)
+    ledger = ledger_table(ledger_path).read(spark, F.col("bar_month") >= first)
     within = F.col("bar_month").between(F.col("first_month"), F.coalesce("until", F.col("bar_month")))
     rows = stored(
         ledger.join(spans.select(*SERIES, "first_month", "first_change", "until"), SERIES).where(within), "carry-candles"

@@ -113,8 +113,8 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return ledger_table(path).read(spark)
 
 
-def _touched(current: DataFrame, updates: DataFrame) -> DataFrame:
-    """The rows of *current* in the partitions of *updates*.
+def _touched(spark: SparkSession, table: VersionedTable, updates: DataFrame) -> DataFrame:
+    """The rows of *table* in the partitions of *updates*.
 
     Literal filters skip whole directories: the months and timeframes between
     the outermost ones, and the symbols themselves while they can be listed.
@@ -123,12 +123,11 @@ def _touched(current: DataFrame, updates: DataFrame) -> DataFrame:
     edges = parts.agg(
         *[F.min(c).alias(f"low_{c}") for c in PARTITIONS], *[F.max(c).alias(f"high_{c}") for c in PARTITIONS]
     ).first()
-    for c in PARTITIONS:
-        current = current.where(F.col(c).between(edges[f"low_{c}"], edges[f"high_{c}"]))
+    where = reduce(lambda a, b: a & b, [F.col(c).between(edges[f"low_{c}"], edges[f"high_{c}"]) for c in PARTITIONS])
     symbols = [r.symbol for r in parts.select("symbol").distinct().limit(LISTED_SYMBOLS + 1).collect()]
     if len(symbols) <= LISTED_SYMBOLS:  # only pruning: the join below decides
-        current = current.where(F.col("symbol").isin(symbols))
-    return current.join(parts, PARTITIONS, "left_semi")
+        where &= F.col("symbol").isin(symbols)
+    return table.read(spark, where).join(parts, PARTITIONS, "left_semi")
 
 
 def upsert_candles(spark: SparkSession, path: str, updates: DataFrame, now_ms: int) -> Upserted:
@@ -144,7 +143,7 @@ def upsert_candles(spark: SparkSession, path: str, updates: DataFrame, now_ms: i
     updates = updates.withColumn("bar_month", bar_month(F.col("bar_time")))
     table = ledger_table(path)
     counts = Observation()
-    merged = merge_candles(_touched(table.read(spark), updates), updates, now_ms).observe(
+    merged = merge_candles(_touched(spark, table, updates), updates, now_ms).observe(
         counts,
         F.count_if(F.col("change") == "inserted").alias("inserted"),
         F.count_if(F.col("change") == "updated").alias("updated"),

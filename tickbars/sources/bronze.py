@@ -6,28 +6,41 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StringType, StructType, TimestampType
+from pyspark.sql.types import DateType, StringType, StructType, TimestampType
 
 from tickbars.functions.sessions import is_weekday
 from tickbars.operators.cleaning import drop_repeated_rows
 from tickbars.schemas import SOURCE_TICKS, TICKS, with_fields
-from tickbars.session import read_or_empty, require_utc
+from tickbars.session import discard, files_of, require_utc, stored
 from tickbars.sources.versions import VersionedTable
 
 # Fixed value: an hour file's name.  The compacted file beside it must not be read with it.
 HOUR_FILE = "[0-9][0-9]_[0-9][0-9].parquet"
+DAYS = ["symbol", "year", "month", "day"]
+# Pieces of an archived day that are joined to one.
+FOLD_AT = 16
 
 
-def read_hour_files(spark: SparkSession, root: str, symbol: str, start: str, end: str) -> DataFrame:
+def read_hour_files(
+    spark: SparkSession, root: str, symbol: str | list[str] | None, start: str, end: str
+) -> DataFrame:
     """Ticks of inclusive days from ``<root>/<SYMBOL>/year=/month=/DD_HH.parquet``, repeats dropped.
 
+    *symbol* is one, a list, or None for all there are: one scan in any case.
     Only the months of the range are opened.  No files give an empty frame.
     """
-    schema = with_fields(SOURCE_TICKS, year=IntegerType(), month=IntegerType())
-    files = read_or_empty(spark, schema, f"{root}/{symbol}", pathGlobFilter=HOUR_FILE)
+    names = "*" if symbol is None else symbol if isinstance(symbol, str) else "{" + ",".join(symbol) + "}"
+    store, pattern = files_of(spark, f"{root}/{names}/year=*/month=*")
     first, last = (int(day[:7].replace("-", "")) for day in (start, end))
-    months = files.where((F.col("year") * 100 + F.col("month")).between(first, last))
-    return drop_repeated_rows(in_days(months.select(*SOURCE_TICKS.names), start, end))
+    folders = []
+    for found in store.globStatus(pattern) or []:
+        year, month = (int(part.split("=")[1]) for part in found.getPath().toString().split("/")[-2:])
+        if first <= year * 100 + month <= last:
+            folders.append(found.getPath().toString())
+    if not folders:
+        return drop_repeated_rows(spark.createDataFrame([], SOURCE_TICKS))
+    reader = spark.read.schema(SOURCE_TICKS).option("recursiveFileLookup", "true").option("pathGlobFilter", HOUR_FILE)
+    return drop_repeated_rows(in_days(reader.parquet(*folders), start, end))
 
 
 def in_days(ticks: DataFrame, start: str, end: str, column: str = "timestamp_utc") -> DataFrame:
@@ -143,21 +156,14 @@ def compact_months(ticks: DataFrame, path: str) -> None:
 def archive_table(path: str) -> VersionedTable:
     schema = with_fields(TICKS, year=StringType(), month=StringType(), day=StringType())
     return VersionedTable(path.rstrip("/"), StructType([f for f in schema if f.name != "symbol"] + [schema["symbol"]]),
-                          ("symbol", "year", "month", "day"))
+                          tuple(DAYS))
 
 
 def archive_days(ticks: DataFrame, path: str) -> None:
     """Write the day archive ``symbol=/year=/month=/day=``.  A day written again is replaced, all at once."""
     require_utc(ticks.sparkSession)
-    at = F.col("timestamp_utc")
-    dated = drop_repeated_rows(ticks.select(*TICKS.names)).select(
-        "*",
-        F.date_format(at, "yyyy").alias("year"),
-        F.date_format(at, "MM").alias("month"),
-        F.date_format(at, "dd").alias("day"),
-    )
-    days = ["symbol", "year", "month", "day"]
-    archive_table(path).replace(dated.hint("rebalance", *days).sortWithinPartitions(*days, "timestamp_utc", "seq"))
+    dated = _dated(drop_repeated_rows(ticks.select(*TICKS.names)))
+    archive_table(path).replace(dated.hint("rebalance", *DAYS).sortWithinPartitions(*DAYS, "timestamp_utc", "seq"))
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
@@ -171,16 +177,56 @@ def _dates(start: str | None, end: str | None) -> Column:
 
 
 def read_archive(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """The day archive, or the days from *start* to *end*.  Other directories are not opened."""
-    return archive_table(path).read(spark).where(_dates(start, end)).select(*TICKS.names)
+    """The day archive, or the days from *start* to *end*.  Other directories are not opened.
+
+    Days that ticks were added to are freed of repeats as they are read; days in one
+    piece are read as they are.
+    """
+    rows = archive_table(path).pieces(spark, _dates(start, end))
+    plain, added = F.col("pieces") == 1, F.col("pieces") > 1
+    mended = drop_repeated_rows(rows.where(added).select(*TICKS.names)).select(*TICKS.names)
+    return rows.where(plain).select(*TICKS.names).unionByName(mended)
 
 
 def archived_days(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """The (symbol, day) pairs of the archive, from its manifest: no ticks are read."""
-    days = archive_table(path).manifest(spark).where(_dates(start, end))
+    days = archive_table(path).manifest(spark).where(_dates(start, end)).drop("version", "added").distinct()
     return days.select("symbol", F.to_date(F.concat_ws("-", "year", "month", "day")).alias("day"))
 
 
+def _dated(ticks: DataFrame) -> DataFrame:
+    at = F.col("timestamp_utc")
+    return ticks.select(
+        *TICKS.names, F.date_format(at, "yyyy").alias("year"), F.date_format(at, "MM").alias("month"),
+        F.date_format(at, "dd").alias("day"),
+    )
+
+
+def add_to_archive(ticks: DataFrame, path: str) -> None:
+    """Add ticks to the archive as a piece beside what their days hold: no day is read or rewritten.
+
+    Exact repeats, within the piece and across pieces, are dropped by :func:`read_archive`, so
+    adding the same ticks again changes nothing there.  :func:`fold_archive` joins pieces.
+    """
+    require_utc(ticks.sparkSession)
+    archive_table(path).add(_dated(ticks).hint("rebalance", *DAYS).sortWithinPartitions(*DAYS, "timestamp_utc", "seq"))
+
+
+def fold_archive(spark: SparkSession, path: str, pieces: int = FOLD_AT) -> int:
+    """Rewrite days of *pieces* pieces or more as one; returns how many days that were."""
+    table = archive_table(path)
+    many = table.manifest(spark).groupBy(*DAYS).count().where(F.col("count") >= pieces)
+    many = stored(many.select(*DAYS), "archive-fold")
+    found = many.count()
+    if found:
+        edges = many.agg(*[f(F.concat("year", "month", "day")) for f in (F.min, F.max)]).first()
+        rows = table.read(spark, F.concat("year", "month", "day").between(edges[0], edges[1]))
+        whole = drop_repeated_rows(rows.join(many, DAYS, "left_semi").select(*TICKS.names))
+        table.replace(_dated(whole).hint("rebalance", *DAYS).sortWithinPartitions(*DAYS, "timestamp_utc", "seq"))
+    discard(many)
+    return found
+
+
 def merge_into_archive(spark: SparkSession, ticks: DataFrame, path: str) -> None:
     """Add part of a day to the archive without losing the rest of it.
 

@@ -3,10 +3,10 @@
 Every delivery repeats recent bars, and the newest bar is still forming.  The
 merge by key makes that harmless: a batch applied twice gives the same table.
 
-A delivery starts and ends anywhere.  So the bars themselves are kept, each in its
-newest revision, and a candle is made anew from all bars of its bucket whenever one of
-them comes; its ATR goes on from the candles before (``operators.carry``).  The ledger
-then is the same however the bars were cut into deliveries.
+A delivery starts and ends anywhere.  With ``continued`` the bars themselves are kept, each
+in its newest revision, and a candle is made anew from all bars of its bucket whenever
+one of them comes; its ATR goes on from the candles before (``operators.carry``).  The
+ledger then is the same however the bars were cut into deliveries.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from tickbars.sources.versions import VersionedTable
 FILES_PER_BATCH = 10_000
 KEPT_BARS = T.StructType(
     [f for f in BARS.fields if f.name != "symbol"]
-    + [T.StructField("delivered_at", T.TimestampType()), T.StructField("symbol", T.StringType()), T.StructField("day", T.StringType())]
+    + [T.StructField("delivered_at", T.TimestampType()), T.StructField("symbol", T.StringType()), T.StructField("month", T.StringType())]
 )
 
 
@@ -70,26 +70,27 @@ def live_candles(documents: DataFrame, fetch_interval: str, timeframe: str, peri
 
 
 def bar_table(ledger_path: str) -> VersionedTable:
-    """The bars a feed has delivered, each in its newest revision, by symbol and day."""
-    return VersionedTable(f"{ledger_path.rstrip('/')}_bars", KEPT_BARS, ("symbol", "day"))
+    """The bars a feed has delivered, each in its newest revision, by symbol and month."""
+    return VersionedTable(f"{ledger_path.rstrip('/')}_bars", KEPT_BARS, ("symbol", "month"))
 
 
 def keep_bars(spark: SparkSession, bars: DataFrame, ledger_path: str) -> None:
-    """Merge delivered bars (with ``delivered_at``) into the bar table; only days they touch are rewritten.
+    """Merge delivered bars (with ``delivered_at``) into the bar table; only months they touch are rewritten.
 
     Taking the newest revision is associative and a repeat changes nothing, so the
     deliveries may overlap, repeat and come in any order.  *bars* is read more than once.
     """
     require_utc(spark)
     table = bar_table(ledger_path)
-    fresh = bars.withColumn("day", F.date_format("timestamp_utc", "yyyy-MM-dd")).select(*KEPT_BARS.names)
-    touched = fresh.select("symbol", "day").distinct()
-    edges = touched.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+    month = F.date_format("timestamp_utc", "yyyy-MM")
+    fresh = bars.withColumn("month", month).select(*KEPT_BARS.names)
+    touched = fresh.select("symbol", "month").distinct()
+    edges = touched.agg(F.min("month").alias("a"), F.max("month").alias("b")).first()
     if edges["a"] is None:
         return
-    old = table.read(spark).where(F.col("day").between(edges["a"], edges["b"])).join(touched, ["symbol", "day"], "left_semi")
-    both = newest_revision(old.unionByName(fresh)).withColumn("day", F.date_format("timestamp_utc", "yyyy-MM-dd"))
-    table.replace(both.select(*KEPT_BARS.names).hint("rebalance", "symbol", "day"))
+    old = table.read(spark, F.col("month").between(edges["a"], edges["b"])).join(touched, ["symbol", "month"], "left_semi")
+    both = newest_revision(old.unionByName(fresh)).withColumn("month", month)
+    table.replace(both.select(*KEPT_BARS.names).hint("rebalance", "symbol", "month"))
 
 
 def touched_candles(spark: SparkSession, bars: DataFrame, ledger_path: str, timeframe: str, trim: bool = True) -> DataFrame:
@@ -101,31 +102,32 @@ def touched_candles(spark: SparkSession, bars: DataFrame, ledger_path: str, time
     bucket = F.window("timestamp_utc", **window_args(timeframe))
     buckets = stored(bars.select("symbol", bucket.alias("_bucket")).distinct(), "live-buckets")
     edges = buckets.agg(
-        F.date_format(F.min("_bucket.start"), "yyyy-MM-dd").alias("a"), F.date_format(F.max("_bucket.end"), "yyyy-MM-dd").alias("b")
+        F.date_format(F.min("_bucket.start"), "yyyy-MM").alias("a"), F.date_format(F.max("_bucket.end"), "yyyy-MM").alias("b")
     ).first()
     table = bar_table(ledger_path)
-    kept = table.read(spark)
-    within = kept.where(F.col("day").between(edges["a"], edges["b"])).withColumn("_bucket", bucket)
+    within = table.read(spark, F.col("month").between(edges["a"], edges["b"])).withColumn("_bucket", bucket)
     ticks = bars_to_ticks(within.join(buckets, ["symbol", "_bucket"], "left_semi").select(*BARS.names))
     candles = resample(clean_ticks(ticks), timeframe)
     if not trim:
         return candles
     symbols = buckets.select("symbol").distinct()
-    oldest = table.manifest(spark).join(symbols, "symbol", "left_semi").groupBy("symbol").agg(F.min("day").alias("day"))
-    first = kept.join(oldest, ["symbol", "day"], "left_semi").groupBy("symbol").agg(F.min("timestamp_utc").alias("_first"))
+    oldest = table.manifest(spark).join(symbols, "symbol", "left_semi").groupBy("symbol").agg(F.min("month").alias("month"))
+    first = table.read(spark).join(oldest, ["symbol", "month"], "left_semi").groupBy("symbol").agg(
+        F.min("timestamp_utc").alias("_first")
+    )
     return candles.join(first, "symbol").where("bar_time >= _first").drop("_first")
 
 
 def apply_documents(spark: SparkSession, documents: DataFrame, ledger_path: str, fetch_interval: str,
-                    timeframe: str, period: int, now_ms: int, trim: bool = True, alone: bool = False) -> Upserted:
+                    timeframe: str, period: int, now_ms: int, trim: bool = True, continued: bool = False) -> Upserted:
     """One batch of documents into the ledger.
 
-    The bars join those kept before, touched candles are made anew, and ATR goes on from
-    the candles before them.  With *alone* the batch is taken as all there is: candles
-    and ATR come from its own bars only, and nothing is kept beside the ledger.
+    By default a batch is taken as all there is: candles and ATR come from its own bars
+    only.  With *continued* the bars join those kept before, touched candles are made anew
+    from all of them, and ATR goes on from the candles before.
     """
     check_divides(fetch_interval, timeframe)
-    if alone:
+    if not continued:
         ticks = live_ticks(documents)
         candles = _candles_without_atr(ticks, timeframe, trim)
         rows = stored(ledger_rows(compute_atr(candles, period), timeframe), "live-ledger-rows")
@@ -144,13 +146,17 @@ def apply_documents(spark: SparkSession, documents: DataFrame, ledger_path: str,
 
 
 def write_live(documents: DataFrame, ledger_path: str, checkpoint: str, fetch_interval: str = "1min",
-               timeframe: str = "5min", period: int = 14, trim: bool = True, clock=time.time, alone: bool = False):
-    """Start the query that keeps the ledger up to date with a document stream."""
+               timeframe: str = "5min", period: int = 14, trim: bool = True, clock=time.time, continued: bool = False):
+    """Start the query that keeps the ledger up to date with a document stream.
+
+    *continued* makes the ledger independent of how bars were cut into batches (see
+    :func:`apply_documents`).
+    """
     check_divides(fetch_interval, timeframe)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         apply_documents(
-            batch.sparkSession, batch, ledger_path, fetch_interval, timeframe, period, int(clock() * 1000), trim, alone
+            batch.sparkSession, batch, ledger_path, fetch_interval, timeframe, period, int(clock() * 1000), trim, continued
         )
 
     return (

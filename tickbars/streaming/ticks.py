@@ -21,7 +21,7 @@ from tickbars.operators.gaps import LONG_STEP, classify_gaps, runs_in_holes
 from tickbars.operators.ledger import ledger_rows, upsert_candles
 from tickbars.schemas import CANDLES, TICKS, with_fields
 from tickbars.session import discard, stored
-from tickbars.sources.bronze import merge_into_archive
+from tickbars.sources.bronze import add_to_archive, fold_archive
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -165,12 +165,14 @@ def write_open_bars(bars: DataFrame, ledger_path: str, checkpoint: str, timefram
 
 
 def write_archive(ticks: DataFrame, path: str, checkpoint: str):
-    """Merge arriving ticks into the day archive; a partial day never replaces a full one."""
+    """Add arriving ticks to the day archive, a piece a batch; days of many pieces are folded to one.
+
+    A batch applied twice adds the same ticks twice, which readers of the archive drop.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        ticks = stored(batch, "archive-batch")
-        merge_into_archive(batch.sparkSession, ticks, path)
-        discard(ticks)
+        add_to_archive(batch, path)
+        fold_archive(batch.sparkSession, path)
 
     return (
         ticks.writeStream.foreachBatch(apply)
