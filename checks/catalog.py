@@ -24,6 +24,8 @@ from tickbars.session import configure, scratch_path, stored
 from tickbars.sources import barfeed, bronze, tickfiles
 from tickbars.streaming import live
 from tickbars.streaming import ticks as streaming
+from tickbars.streaming.closing import Closing, write_closed_candles
+from tickbars.streaming.progress import ProgressLog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1102,3 +1104,117 @@ def _(spark, sf_dir):
     written = streaming.write_stream(bars, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint"))
     written.awaitTermination()
     return spark.createDataFrame([(streaming.late_rows(written),)], "late BIGINT")
+
+
+VOLUMES_SQL = f"""{A.DIRTY_SQL},{A.clean_sql('ticks_dirty')},{A.bars_sql('1 hour', 'clean', 'all_bars')},
+bars AS (SELECT * FROM all_bars WHERE bar_time + INTERVAL 1 HOUR <= (SELECT max(timestamp_utc) FROM ticks) - INTERVAL {DELAY_MINUTES} MINUTE)"""
+
+
+@query("stream_bars_volumes", f"WITH {VOLUMES_SQL} SELECT symbol, {CANDLE_OUT} FROM bars")
+def _(spark, sf_dir):
+    """Duplicates that differ in volume only: the stream keeps the one that batch keeps."""
+    streaming.use_keyed_state(spark)
+    ticks = A.redelivered(A.ticks_of_events(_arriving(spark, sf_dir)))
+    out = streaming.bar_stream(streaming.settled_stream(ticks, f"{DELAY_MINUTES} minutes"), "1h")
+    path = scratch_path(spark, "stream-out")
+    streaming.write_stream(out, path, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def _events_by_quarter(spark, sf_dir) -> tuple[DataFrame, list]:
+    events = A.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    step = (ends["b"] - ends["a"]) / BATCHES
+    return events, [F.lit(ends["a"] + i * step) for i in range(BATCHES)]
+
+
+def _late_ticks(spark, sf_dir) -> DataFrame:
+    """Events in four micro-batches; every twentieth of the first quarter comes with the last one only."""
+    events, starts = _events_by_quarter(spark, sf_dir)
+    late = (F.col("ts") < starts[1]) & (F.col("event_id") % 20 == 0)
+    after = [F.col("ts") >= s for s in starts]
+    parts = [events.where(after[i] & (~after[i + 1] if i + 1 < BATCHES else F.lit(True)) & ~late) for i in range(BATCHES)]
+    parts[-1] = parts[-1].unionByName(events.where(late))
+    return A.redelivered(A.ticks_of_events(_in_parts(parts)))
+
+
+def _closed(spark, sf_dir) -> Closing:
+    closing = Closing(scratch_path(spark, "closing-archive"), scratch_path(spark, "closing-ledger"), "1h", DELAY_MINUTES * 60)
+    write_closed_candles(_late_ticks(spark, sf_dir), closing, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return closing
+
+
+@query("stream_late_repair", f"WITH RECURSIVE {VOLUMES_SQL},{A.atr_sql(14)} SELECT symbol, '1h' AS timeframe, {PAGE_OUT} FROM with_atr")
+def _(spark, sf_dir):
+    """Late ticks change candles closed long ago; ledger and ATR after the repair equal batch."""
+    return ledger.read_ledger(spark, _closed(spark, sf_dir).ledger_path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+
+
+QUARTER_SQL = f"""quarters AS (SELECT *, least(floor((epoch_us(timestamp_utc) - a) / ((b - a) / {BATCHES}.0)), {BATCHES - 1}) AS quarter
+  FROM ticks_dirty, (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events))"""
+
+
+@query(
+    "stream_late_candles",
+    f"""WITH {A.DIRTY_SQL}, late AS (SELECT * FROM ticks_dirty, (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events)
+      WHERE seq % 10000000 % 20 = 0 AND epoch_us(timestamp_utc) < a + (b - a) // {BATCHES})
+    SELECT symbol, epoch_ms(time_bucket(INTERVAL 1 HOUR, timestamp_utc)) AS bar_time, count(*) AS ticks FROM late GROUP BY 1, 2""",
+)
+def _(spark, sf_dir):
+    """The candles that were made anew, and the late ticks in each."""
+    return _closed(spark, sf_dir).late(spark).drop("batch")
+
+
+SILENT_SQL = f"""{A.TICKS_SQL}, edges AS (SELECT epoch_us(min(ts)) AS a, (epoch_us(max(ts)) - epoch_us(min(ts))) // {BATCHES} AS step FROM events),
+placed AS (SELECT symbol, epoch_us(ts) AS us, least((epoch_us(ts) - a) // step, {BATCHES - 1}) AS quarter
+  FROM (SELECT upper(event_type) AS symbol, ts FROM events), edges),
+heard AS (SELECT symbol, us, quarter, us // 3600000000 * 3600 AS bucket FROM placed WHERE NOT (symbol = 'PURCHASE' AND quarter IN (1, 2)
+  OR symbol = 'VIEW' AND quarter >= 2 OR symbol = 'SIGNUP' AND quarter = 3)),
+cut AS (SELECT q AS quarter, (SELECT max(us) FROM heard WHERE quarter < q) / 1e6 - {DELAY_MINUTES * 60} AS watermark FROM range(1, {BATCHES + 1}) t(q)),
+stand AS (SELECT c.quarter, c.watermark, h.symbol, max(h.bucket) FILTER (h.quarter < c.quarter) AS last_seen, count(*) FILTER (h.quarter = c.quarter) AS rows_now
+  FROM cut c, heard h GROUP BY ALL),
+silent AS (
+  SELECT DISTINCT symbol, last_seen, CAST(NULL AS BIGINT) AS resumed, 'open' AS state FROM stand WHERE rows_now = 0 AND last_seen + 3600 + 86400 <= watermark
+  UNION ALL SELECT symbol, last_seen, bucket, 'closed' FROM (SELECT symbol, bucket, lag(bucket) OVER (PARTITION BY symbol ORDER BY bucket) AS last_seen
+    FROM (SELECT DISTINCT symbol, bucket FROM heard)) WHERE bucket - last_seen > 3600 + 86400)"""
+
+
+@query("stream_silence", f"WITH {SILENT_SQL} SELECT symbol, last_seen * 1000 AS last_seen, CAST(resumed * 1000 AS DOUBLE) AS resumed, state FROM silent")
+def _(spark, sf_dir):
+    """One symbol pauses for half the time, two fall silent: open gaps are told by timers, closed ones when data resumes."""
+    streaming.use_keyed_state(spark)
+    events, starts = _events_by_quarter(spark, sf_dir)
+    after, kind = [F.col("ts") >= s for s in starts], F.col("event_type")
+    silent = (kind == "purchase") & after[1] & ~after[3] | (kind == "view") & after[2] | (kind == "signup") & after[3]
+    parts = [events.where(after[i] & (~after[i + 1] if i + 1 < BATCHES else F.lit(True)) & ~silent) for i in range(BATCHES)]
+    ticks = A.ticks_of_events(_in_parts(parts)).withWatermark("timestamp_utc", f"{DELAY_MINUTES} minutes")
+    out = streaming.silence_stream(ticks, "1h", "1d")
+    path = scratch_path(spark, "stream-out")
+    streaming.write_stream(out, path, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return spark.read.schema(out.schema).parquet(path).withColumn("resumed", F.unix_millis("resumed").cast("double"))
+
+
+@query(
+    "stream_totals",
+    f"""WITH {STREAM_SQL} SELECT {BATCHES + 1} AS batches, (SELECT count(*) FROM events) + late + again AS rows, late,
+      (SELECT count(*) FROM events) + late + again AS ticks, (SELECT count(*) FROM bars) AS candles
+    FROM (SELECT count(*) AS late FROM events, (SELECT min(ts) AS a, max(ts) AS b FROM events)
+      WHERE event_id % 50 = 0 AND epoch_us(ts) < epoch_us(a) + (epoch_us(b) - epoch_us(a)) // 4),
+    (SELECT count(*) AS again FROM events, (SELECT min(ts) AS a, max(ts) AS b FROM events), range(1, {BATCHES}) t(i)
+      WHERE epoch_us(ts) >= epoch_us(a) + i * ((epoch_us(b) - epoch_us(a)) // {BATCHES}) - 300000000
+        AND epoch_us(ts) < epoch_us(a) + i * ((epoch_us(b) - epoch_us(a)) // {BATCHES}))""",
+)
+def _(spark, sf_dir):
+    """Rows, late rows, ticks and candles of all micro-batches, from the reports that the log kept."""
+    streaming.use_keyed_state(spark)
+    log = ProgressLog(spark, scratch_path(spark, "progress"))
+    ticks = A.ticks_of_events(_arriving(spark, sf_dir, late=True)).observe("in", F.count(F.lit(1)).alias("ticks"))
+    bars = streaming.bar_stream(streaming.clean_stream(ticks, f"{DELAY_MINUTES} minutes"), "1h")
+    bars = bars.observe("out", F.count(F.lit(1)).alias("candles"))
+    with log:
+        streaming.write_stream(bars, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    counts = log.observed().agg(
+        F.sum(F.when(F.col("name") == "in.ticks", F.col("total"))).alias("ticks"),
+        F.sum(F.when(F.col("name") == "out.candles", F.col("total"))).alias("candles"),
+    )
+    return log.totals().join(counts)

@@ -176,13 +176,16 @@ def _dates(start: str | None, end: str | None) -> Column:
     return date.between(start, end) if start and end else F.lit(True)
 
 
-def read_archive(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """The day archive, or the days from *start* to *end*.  Other directories are not opened.
+def read_archive(
+    spark: SparkSession, path: str, start: str | None = None, end: str | None = None, days: list[str] | None = None
+) -> DataFrame:
+    """The day archive, or the days from *start* to *end*, or the *days* listed.  Other directories are not opened.
 
     Days that ticks were added to are freed of repeats as they are read; days in one
     piece are read as they are.
     """
-    rows = archive_table(path).pieces(spark, _dates(start, end))
+    wanted = _dates(start, end) if days is None else F.concat_ws("-", "year", "month", "day").isin(days)
+    rows = archive_table(path).pieces(spark, wanted)
     plain, added = F.col("pieces") == 1, F.col("pieces") > 1
     mended = drop_repeated_rows(rows.where(added).select(*TICKS.names)).select(*TICKS.names)
     return rows.where(plain).select(*TICKS.names).unionByName(mended)

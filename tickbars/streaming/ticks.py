@@ -23,6 +23,7 @@ from tickbars.schemas import CANDLES, TICKS, with_fields
 from tickbars.session import discard, stored
 from tickbars.sources.bronze import add_to_archive, fold_archive
 
+FILES_PER_BATCH = 1000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,12 +32,9 @@ def use_keyed_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def tick_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """New raw ticks as they land in a table written by ``bronze.land_hours``."""
-    reader = spark.readStream.schema(TICKS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def tick_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """New raw ticks as they land in a table written by ``bronze.land_hours``, a bounded number of files at a time."""
+    return spark.readStream.schema(TICKS).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def clean_stream(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -48,6 +46,20 @@ def clean_stream(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return derive_price(ticks).withWatermark("timestamp_utc", delay).dropDuplicates(list(TICK_IDENTITY))
 
 
+def settled_stream(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Mid price and duplicates as batch has them: of equal ticks the one delivered first, volumes included.
+
+    A tick leaves once the watermark has passed its time, when no duplicate can come any
+    more, so the choice does not depend on which one arrived first.  State holds one
+    tick for each identity of the last *delay*.  For append mode; bars that are still
+    forming need :func:`clean_stream`, which lets a tick through at once.
+    """
+    priced = derive_price(ticks).withWatermark("timestamp_utc", delay)
+    rest = sorted((c for c in priced.columns if c not in TICK_IDENTITY), key=lambda c: (c != "seq", c))
+    first = priced.groupBy(*TICK_IDENTITY).agg(F.min(F.struct(*rest)).alias("_first"))
+    return first.select(*[c if c in TICK_IDENTITY else F.col(f"_first.{c}").alias(c) for c in priced.columns])
+
+
 def bar_stream(clean: DataFrame, timeframe: str) -> DataFrame:
     """Clean ticks to bars; the same plan as in batch."""
     return resample(clean, timeframe)
@@ -142,6 +154,75 @@ def gap_stream(bars: DataFrame, timeframe: str) -> DataFrame:
     return classify_gaps(runs_in_holes(found, timeframe))
 
 
+def _silence(step: int, limit: int):
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Silence(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.state = handle.getValueState("silence_v1", "bucket BIGINT, told BOOLEAN")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import numpy as np
+            import pandas as pd
+
+            last, told = self.state.get() if self.state.exists() else (None, False)
+            # Chunk by chunk only the distinct buckets are held: one for each step of the batch's time.
+            seen = np.empty(0, np.int64)
+            for chunk in rows:
+                seen = np.union1d(seen, chunk["bucket"].to_numpy("int64"))
+            if last is not None:
+                seen = np.concatenate([[last], seen[seen > last]])
+            gap = np.flatnonzero(np.diff(seen) > step + limit)
+            if len(seen) > 1 or last is None:
+                told = False
+            newest = int(seen[-1])
+            for timer in self.handle.listTimers():
+                self.handle.deleteTimer(timer)
+            if not told:
+                self.handle.registerTimer((newest + step + limit) * 1000)
+            self.state.update((newest, told))
+            yield pd.DataFrame(
+                {"symbol": key[0], "last_seen": seen[gap], "resumed": seen[gap + 1].astype("float64"), "state": "closed"}
+            )
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            import pandas as pd
+
+            last, _ = self.state.get()
+            self.state.update((last, True))
+            yield pd.DataFrame({"symbol": [key[0]], "last_seen": [last], "resumed": [float("nan")], "state": ["open"]})
+
+        def close(self):
+            pass
+
+    return Silence()
+
+
+def silence_stream(ticks: DataFrame, timeframe: str, limit: str) -> DataFrame:
+    """Gaps longer than *limit*, told while they last: symbol, last_seen, resumed, state.
+
+    *ticks* have a watermark on ``timestamp_utc``.  A symbol without data is ``open`` as soon
+    as the watermark is *limit* past the end of its last bucket, by a timer, though none
+    of its own rows come; it is ``closed`` when data resumes.  A gap that begins and ends
+    between two micro-batches is told once, as closed.  Only the time of the last bucket is state.
+    """
+    step, wait = timeframe_seconds(timeframe), timeframe_seconds(limit)
+    seconds = F.unix_seconds("timestamp_utc")
+    found = (
+        ticks.select("symbol", "timestamp_utc", (seconds - F.pmod(seconds, F.lit(step))).alias("bucket"))
+        .groupBy("symbol")
+        .transformWithStateInPandas(
+            statefulProcessor=_silence(step, wait),
+            outputStructType="symbol STRING, last_seen BIGINT, resumed DOUBLE, state STRING",
+            outputMode="Append",
+            timeMode="EventTime",
+        )
+    )
+    resumed = F.timestamp_seconds(F.nanvl("resumed", F.lit(None)).cast("long"))
+    return found.select("symbol", F.timestamp_seconds("last_seen").alias("last_seen"), resumed.alias("resumed"), "state")
+
+
 def write_open_bars(bars: DataFrame, ledger_path: str, checkpoint: str, timeframe: str, clock=time.time):
     """Keep the ledger current with bars that are still forming.
 
@@ -183,7 +264,10 @@ def write_archive(ticks: DataFrame, path: str, checkpoint: str):
 
 
 def late_rows(query) -> int:
-    """Rows a query dropped because they came after the watermark."""
+    """Rows a query dropped because they came after the watermark, in the progress it still holds.
+
+    Spark keeps the last hundred reports only; ``streaming.progress`` counts all of them.
+    """
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
 
