@@ -899,8 +899,7 @@ def _(spark, sf_dir):
     right = stored(rows.where(wrong).withColumn("bar_low", F.col("bar_low") / 2), "corrections")
     second = F.year(at) == 1994
     for i, part in enumerate([rows.where(~second), rows.where(second), right.where(F.year(at) == 1993), right.where(F.year(at) == 1997)]):
-        ledger.upsert_candles(spark, path, part, FIRST_WRITE + i)
-        carry.refresh_atr(spark, path, part.select("symbol", "timeframe", "bar_time"), 3, FIRST_WRITE + i)
+        carry.upsert_with_atr(spark, path, part, 3, FIRST_WRITE + i)
     return ledger.read_ledger(spark, path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 
 
@@ -1138,8 +1137,9 @@ def _late_ticks(spark, sf_dir) -> DataFrame:
     return A.redelivered(A.ticks_of_events(_in_parts(parts)))
 
 
-def _closed(spark, sf_dir) -> Closing:
-    closing = Closing(scratch_path(spark, "closing-archive"), scratch_path(spark, "closing-ledger"), "1h", DELAY_MINUTES * 60)
+def _closed(spark, sf_dir, period: int | None) -> Closing:
+    paths = scratch_path(spark, "closing-archive"), scratch_path(spark, "closing-ledger")
+    closing = Closing(*paths, "1h", DELAY_MINUTES * 60, period)
     write_closed_candles(_late_ticks(spark, sf_dir), closing, scratch_path(spark, "stream-checkpoint")).awaitTermination()
     return closing
 
@@ -1147,7 +1147,7 @@ def _closed(spark, sf_dir) -> Closing:
 @query("stream_late_repair", f"WITH RECURSIVE {VOLUMES_SQL},{A.atr_sql(14)} SELECT symbol, '1h' AS timeframe, {PAGE_OUT} FROM with_atr")
 def _(spark, sf_dir):
     """Late ticks change candles closed long ago; ledger and ATR after the repair equal batch."""
-    return ledger.read_ledger(spark, _closed(spark, sf_dir).ledger_path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
+    return ledger.read_ledger(spark, _closed(spark, sf_dir, 14).ledger_path).select("symbol", "timeframe", *ledger.CANDLE_PAGE)
 
 
 QUARTER_SQL = f"""quarters AS (SELECT *, least(floor((epoch_us(timestamp_utc) - a) / ((b - a) / {BATCHES}.0)), {BATCHES - 1}) AS quarter
@@ -1162,7 +1162,7 @@ QUARTER_SQL = f"""quarters AS (SELECT *, least(floor((epoch_us(timestamp_utc) -
 )
 def _(spark, sf_dir):
     """The candles that were made anew, and the late ticks in each."""
-    return _closed(spark, sf_dir).late(spark).drop("batch")
+    return _closed(spark, sf_dir, None).late(spark).drop("batch")
 
 
 SILENT_SQL = f"""{A.TICKS_SQL}, edges AS (SELECT epoch_us(min(ts)) AS a, (epoch_us(max(ts)) - epoch_us(min(ts))) // {BATCHES} AS step FROM events),

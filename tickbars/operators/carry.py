@@ -14,15 +14,16 @@ months it changed behind, and the same run again replaces both.  One writer at a
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.operators.indicators import atr_levels
-from tickbars.operators.ledger import Upserted, bar_month, ledger_table, upsert_candles
-from tickbars.schemas import CANDLE_VALUES, LEDGER_KEY
-from tickbars.session import discard, stored
+from tickbars.operators.ledger import PARTITIONS, READ_SCHEMA, Upserted, bar_month, ledger_table, merge_candles
+from tickbars.schemas import LEDGER, LEDGER_KEY
+from tickbars.session import discard, require_utc, stored
 from tickbars.sources.versions import VersionedTable
 
 SERIES = ["symbol", "timeframe"]
@@ -82,46 +83,67 @@ def refresh_atr(spark: SparkSession, ledger_path: str, changed: DataFrame, perio
     The result is that of the full recurrence over each series.  *changed* is read more
     than once: pass a stored table.
     """
+    return _write(spark, ledger_path, changed.select(*LEDGER_KEY), None, period, now_ms)
+
+
+def upsert_with_atr(spark: SparkSession, ledger_path: str, updates: DataFrame, period: int, now_ms: int) -> Upserted:
+    """Merge ledger rows into the ledger, as ``ledger.upsert_candles`` does, and carry ATR on, in one write.
+
+    *updates* is read more than once: pass a stored table.
+    """
+    return _write(spark, ledger_path, updates.select(*LEDGER_KEY), updates, period, now_ms)
+
+
+def _write(spark, ledger_path: str, changed: DataFrame, updates: DataFrame | None, period: int, now_ms: int) -> Upserted:
+    require_utc(spark)
     if changed.isEmpty():
         return Upserted(0, 0)
-    table = carry_table(ledger_path, period)
+    table, ledger = carry_table(ledger_path, period), ledger_table(ledger_path)
     series = changed.select(*SERIES).distinct()
     old = stored(table.read(spark).join(series, SERIES, "left_semi"), "carry-before")
-    spans = stored(_spans(changed.select(*LEDGER_KEY), old, period), "carry-spans")
+    spans = stored(_spans(changed, old, period), "carry-spans")
 
     first = spans.agg(F.min("first_month").alias("m")).first()["m"]
-    ledger = ledger_table(ledger_path).read(spark, F.col("bar_month") >= first)
-    within = F.col("bar_month").between(F.col("first_month"), F.coalesce("until", F.col("bar_month")))
-    rows = stored(
-        ledger.join(spans.select(*SERIES, "first_month", "first_change", "until"), SERIES).where(within), "carry-candles"
+    month = bar_month(F.col("bar_time"))
+    within = month.between(F.col("first_month"), F.coalesce("until", month))
+    current = ledger.read(spark, F.col("bar_month") >= first).join(
+        spans.select(*SERIES, "first_month", "until"), SERIES
+    ).where(within).select(*LEDGER.names)
+    rows = current.withColumn("change", F.lit("kept")) if updates is None else merge_candles(current, updates, now_ms)
+    timed = rows.join(spans.select(*SERIES, "first_change"), SERIES).withColumns(
+        {"_ms": F.col("bar_time"), "bar_time": F.timestamp_millis("bar_time")}
     )
+    timed = stored(timed, "carry-candles")
     carry_in = spans.where("bars IS NOT NULL").select(*SERIES, "bars", "last_close", "level")
-    timed = rows.select(
-        *SERIES, F.timestamp_millis("bar_time").alias("bar_time"), *CANDLE_VALUES, F.col("atr").alias("_stored"), "first_change"
-    )
-    levels = stored(
-        atr_levels(timed, period, carry_in).withColumn("bar_time", F.unix_millis("bar_time")), "carry-levels"
+    levels = stored(atr_levels(timed, period, carry_in).drop("bar_time").withColumnRenamed("_ms", "bar_time"), "carry-levels")
+
+    # From the first change on; what stands before it is as it was, and an ATR is never cleared.
+    atr = F.when((F.col("position") >= period) & (F.col("bar_time") >= F.col("first_change")), F.col("level"))
+    atr = F.coalesce(atr, F.col("atr"))
+    moved = (F.col("change") == "kept") & ~atr.eqNullSafe(F.col("atr"))
+    stamp = F.when(moved, F.lit(now_ms)).otherwise(F.col("last_updated_at"))
+    counts = Observation()
+    out = levels.withColumns({"_atr": atr, "last_updated_at": stamp, "_moved": moved}).drop("atr").withColumnRenamed("_atr", "atr")
+    out = out.observe(
+        counts, F.count_if(F.col("change") == "inserted").alias("inserted"),
+        F.count_if((F.col("change") == "updated") | F.col("_moved")).alias("updated"),
+    ).select(*LEDGER.names, month.alias("bar_month"))
+    ledger.replace(
+        out.select(*READ_SCHEMA.names).hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "bar_time")
     )
 
-    atr = F.when(F.col("position") >= period, F.col("level"))
-    fresh = levels.where((F.col("bar_time") >= F.col("first_change")) & ~atr.eqNullSafe(F.col("_stored")))
-    written = upsert_candles(
-        spark, ledger_path, stored(fresh.select(*LEDGER_KEY, *CANDLE_VALUES, atr.alias("atr")), "carry-rows"), now_ms
-    )
-
-    ends = levels.groupBy(*SERIES, bar_month(F.col("bar_time")).alias("bar_month")).agg(
+    ends = levels.groupBy(*SERIES, month.alias("bar_month")).agg(
         F.max("position").alias("bars"), F.max_by("bar_close", "position").alias("last_close"),
         F.max_by("level", "position").alias("level"),
     )
-    moved = ends.groupBy(*SERIES).agg(F.max("bars").alias("_now"))
-    was = old.join(spans.select(*SERIES, "until"), SERIES).where(
-        F.col("until").isNotNull() & (F.col("bar_month") <= F.col("until"))
-    ).groupBy(*SERIES).agg(F.max("bars").alias("_was"))
-    kept = old.join(spans.select(*SERIES, "first_month", "until"), SERIES).join(moved, SERIES, "left").join(was, SERIES, "left")
-    earlier = kept.where(F.col("bar_month") < F.col("first_month")).select(*CARRY.names)
-    later = kept.where(F.col("bar_month") > F.col("until")).withColumn(
+    now = ends.groupBy(*SERIES).agg(F.max("bars").alias("_now"))
+    kept = old.join(spans.select(*SERIES, "first_month", "until"), SERIES)
+    was = kept.where(F.col("bar_month") <= F.col("until")).groupBy(*SERIES).agg(F.max("bars").alias("_was"))
+    earlier = kept.where(F.col("bar_month") < F.col("first_month"))
+    later = kept.where(F.col("bar_month") > F.col("until")).join(now, SERIES, "left").join(was, SERIES, "left").withColumn(
         "bars", F.col("bars") + F.coalesce(F.col("_now") - F.col("_was"), F.lit(0))
-    ).select(*CARRY.names)
-    table.replace(earlier.unionByName(later).unionByName(ends.select(*CARRY.names)).hint("rebalance", *SERIES))
-    discard(old, spans, rows, levels)
-    return written
+    )
+    whole = [part.select(*CARRY.names) for part in (earlier, later, ends)]
+    table.replace(reduce(DataFrame.unionByName, whole).hint("rebalance", *SERIES))
+    discard(old, spans, timed, levels)
+    return Upserted(counts.get["inserted"], counts.get["updated"])

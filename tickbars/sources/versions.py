@@ -117,7 +117,10 @@ class VersionedTable:
         fresh = self._rows(spark, [version]).select(*self.partitions, "version").distinct().withColumn("added", F.lit(added))
         since = next((i for i, n in enumerate(reversed(names)) if n.endswith(ALL)), len(names))
         old = self._resolved(spark, names)
-        if since >= ALL_EVERY or old.select(*self.partitions).distinct().count() <= 2 * fresh.count():
+        sizes = old.select(F.lit(1).alias("was"), F.lit(0).alias("now")).unionByName(
+            fresh.select(F.lit(0).alias("was"), F.lit(1).alias("now"))
+        ).agg(F.sum("was").alias("was"), F.sum("now").alias("now")).first()
+        if since >= ALL_EVERY or sizes["was"] <= 2 * sizes["now"]:
             if not added:
                 old = old.join(fresh.select(*self.partitions), list(self.partitions), "left_anti")
             fresh, version = old.unionByName(fresh), version + ALL

@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 
 from tickbars.functions.timeframes import check_timeframe_name, timeframe_seconds, window_args
 from tickbars.operators.bars import resample
-from tickbars.operators.carry import refresh_atr
+from tickbars.operators.carry import upsert_with_atr
 from tickbars.operators.cleaning import clean_ticks
 from tickbars.operators.ledger import ledger_rows, upsert_candles, valid_candle
-from tickbars.schemas import LEDGER_KEY
 from tickbars.session import discard, files_of, stored
 from tickbars.sources.bronze import add_to_archive, fold_archive, read_archive
 
@@ -36,13 +35,13 @@ LISTED_DAYS = 1000
 
 @dataclass(frozen=True)
 class Closing:
-    """A query that closes candles of one timeframe; its state lies beside the ledger."""
+    """A query that closes candles of one timeframe; its state lies beside the ledger.  No period, no ATR."""
 
     archive_path: str
     ledger_path: str
     timeframe: str
     delay_seconds: int
-    period: int = 14
+    period: int | None = 14
 
     @property
     def folder(self) -> str:
@@ -112,8 +111,10 @@ class Closing:
             rows.append(self._candles(again))
         both = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
         good = stored(ledger_rows(both.where(valid_candle()), self.timeframe), "closing-rows")
-        upsert_candles(spark, self.ledger_path, good, now_ms)
-        refresh_atr(spark, self.ledger_path, good.select(*LEDGER_KEY), self.period, now_ms)
+        if self.period is None:
+            upsert_candles(spark, self.ledger_path, good, now_ms)
+        else:
+            upsert_with_atr(spark, self.ledger_path, good, self.period, now_ms)
         discard(good)
 
     def _candles(self, ticks: DataFrame) -> DataFrame:

@@ -19,11 +19,11 @@ from pyspark.sql import types as T
 
 from tickbars.functions.timeframes import check_divides, window_args
 from tickbars.operators.bars import bars_to_ticks, resample
-from tickbars.operators.carry import refresh_atr
+from tickbars.operators.carry import upsert_with_atr
 from tickbars.operators.cleaning import clean_ticks
 from tickbars.operators.indicators import compute_atr
 from tickbars.operators.ledger import Upserted, ledger_rows, upsert_candles
-from tickbars.schemas import BARS, LEDGER_KEY
+from tickbars.schemas import BARS
 from tickbars.session import discard, require_utc, stored
 from tickbars.sources.barfeed import document_columns, feed_bars, latest_revision, newest_revision
 from tickbars.sources.versions import VersionedTable
@@ -139,8 +139,7 @@ def apply_documents(spark: SparkSession, documents: DataFrame, ledger_path: str,
         return Upserted(0, 0)
     keep_bars(spark, bars, ledger_path)
     rows = stored(ledger_rows(touched_candles(spark, bars, ledger_path, timeframe, trim), timeframe), "live-ledger-rows")
-    written = upsert_candles(spark, ledger_path, rows, now_ms)
-    refresh_atr(spark, ledger_path, rows.select(*LEDGER_KEY), period, now_ms)
+    written = upsert_with_atr(spark, ledger_path, rows, period, now_ms)
     discard(bars, rows)
     return written
 
