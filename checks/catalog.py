@@ -17,7 +17,8 @@ from checks import landing
 from tickbars.functions import columns as C
 from tickbars.functions import sessions as S
 from tickbars.operators import bars as B
-from tickbars.operators import carry, cleaning, gaps, indicators, ledger
+from tickbars.operators import carry, cleaning, gaps, indicators, ledger, partials
+from tickbars.operators import coverage as merging
 from tickbars.plans.market_run import backfill
 from tickbars.plans.market_run import live as live_run
 from tickbars.session import configure, scratch_path, stored
@@ -378,6 +379,27 @@ _coverage_query("coverage_10s", "10s", 10)
 _coverage_query("coverage_1s", "1s", 1)
 
 
+def _merged_coverage_query(name: str, freq: str, step: int):
+    """Three deliveries that overlap, the second one twice, against one scan of everything."""
+    sql = f"""WITH {A.TICKS_SQL},{A.gaps_sql(step, 'ticks', 'timestamp_utc')},
+      p AS (SELECT symbol, count(*) AS present FROM gaps_present GROUP BY 1), e AS (SELECT symbol, count(*) AS expected FROM gaps_expected GROUP BY 1),
+      m AS (SELECT symbol, count(*) AS missing FROM gaps_missing GROUP BY 1)
+      SELECT p.symbol, present, expected, coalesce(missing, 0) AS missing, coalesce(missing, 0) * {step} / 60.0 AS gap_minutes
+      FROM p JOIN e USING (symbol) LEFT JOIN m USING (symbol)"""
+
+    @query(name, sql)
+    def _(spark, sf_dir):
+        ticks, path = A.ticks(spark, sf_dir), scratch_path(spark, "coverage")
+        parts = ["timestamp_utc >= '2024-01-18'", "timestamp_utc >= '2024-01-08' AND timestamp_utc < '2024-01-22'", "timestamp_utc < '2024-01-10'"]
+        for part in [parts[0], parts[1], parts[2], parts[1]]:
+            merging.add_coverage(spark, ticks.where(part), path, freq)
+        return merging.read_coverage(spark, path, freq)
+
+
+_merged_coverage_query("coverage_merged", "1min", 60)
+_merged_coverage_query("coverage_merged_7min", "7min", 420)
+
+
 OPEN_SQL = """(isodow(ts) <> 6 AND NOT (isodow(ts) = 5 AND hour(ts) >= 22) AND NOT (isodow(ts) = 7 AND hour(ts) < 22))"""
 
 
@@ -1218,3 +1240,14 @@ def _(spark, sf_dir):
         F.sum(F.when(F.col("name") == "out.candles", F.col("total"))).alias("candles"),
     )
     return log.totals().join(counts)
+
+
+@query("bars_of_deliveries", f"WITH {CLEAN_SQL},{A.bars_sql('4 hours')} SELECT symbol, '4h' AS timeframe, {CANDLE_OUT} FROM bars")
+def _(spark, sf_dir):
+    """Three deliveries that cut buckets, in any order and one of them twice, merged without their ticks."""
+    path, ticks = scratch_path(spark, "states"), stored(clean(spark, sf_dir), "clean")
+    first, second = "timestamp_utc < '2024-01-09 06:31:07'", "timestamp_utc < '2024-01-20 17:00:01'"
+    cuts = {"c": f"NOT ({second})", "a": first, "b": f"NOT ({first}) AND {second}"}
+    for delivery in ["c", "a", "b", "a"]:
+        partials.deliver(spark, ticks.where(cuts[delivery]), path, "4h", delivery)
+    return partials.delivered_candles(spark, path, "4h")
