@@ -23,7 +23,7 @@ from tickbars.plans.market_run import backfill
 from tickbars.plans.market_run import live as live_run
 from tickbars.session import configure, scratch_path, stored
 from tickbars.sources import barfeed, bronze, tickfiles
-from tickbars.streaming import live
+from tickbars.streaming import hours, live
 from tickbars.streaming import ticks as streaming
 from tickbars.streaming.closing import Closing, write_closed_candles
 from tickbars.streaming.progress import ProgressLog
@@ -1251,3 +1251,38 @@ def _(spark, sf_dir):
     for delivery in ["c", "a", "b", "a"]:
         partials.deliver(spark, ticks.where(cuts[delivery]), path, "4h", delivery)
     return partials.delivered_candles(spark, path, "4h")
+
+
+def _hours_streamed(spark, sf_dir) -> str:
+    """Hour files in three micro-batches, the second of which runs twice; the raw table."""
+    folder, raw = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    files = landing.tick_files(A.ticks(spark, sf_dir))
+    landing.write_files(files, folder)
+    third = -(-tickfiles.read_tick_files(spark, folder).select("path").count() // 3)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id == 1 else 1):
+            hours.land_batch(batch, batch_id, raw)
+
+    arriving = hours.hour_file_stream(spark, folder, third).writeStream.foreachBatch(land)
+    arriving.option("checkpointLocation", scratch_path(spark, "stream-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return raw
+
+
+@query("hours_streamed", ORACLES["bi5_ingest"])
+def _(spark, sf_dir):
+    return hours.read_streamed_ticks(spark, f"{_hours_streamed(spark, sf_dir)}/ticks")
+
+
+@query(
+    "hours_streamed_manifest",
+    f"""WITH {A.TICKS_SQL}, {DAYS_SQL},
+    planned AS (SELECT symbol, unnest(generate_series(CAST(start_date AS TIMESTAMP), end_date + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS hour FROM ranges),
+    fresh AS (SELECT symbol, date_trunc('hour', timestamp_utc) AS hour, count(*) AS ticks FROM ticks GROUP BY 1, 2)
+    SELECT CASE symbol WHEN 'CLICK' THEN 'XAUUSD' WHEN 'ERROR' THEN 'USDJPY' ELSE symbol END AS symbol, epoch_ms(hour) AS hour,
+      CASE WHEN ticks IS NULL THEN 'skipped' ELSE 'written' END AS status, coalesce(ticks, 0) AS ticks
+    FROM planned LEFT JOIN fresh USING (symbol, hour) WHERE isodow(hour) <= 5""",
+)
+def _(spark, sf_dir):
+    planned = ranges(A.ticks(spark, sf_dir)).replace({"CLICK": "XAUUSD", "ERROR": "USDJPY"}, subset=["symbol"])
+    return hours.streamed_manifest(spark, planned, _hours_streamed(spark, sf_dir))

@@ -82,6 +82,11 @@ def hour_manifest(ranges: DataFrame, landed_before: DataFrame, decoded: DataFram
     counts = decoded.groupBy("symbol", F.date_trunc("HOUR", "timestamp_utc").alias("hour")).agg(
         F.count(F.lit(1)).alias("ticks")
     )
+    return manifest_of_counts(ranges, landed_before, counts)
+
+
+def manifest_of_counts(ranges: DataFrame, landed_before: DataFrame, counts: DataFrame) -> DataFrame:
+    """:func:`hour_manifest` from the ticks counted by hour: ``(symbol, hour, ticks)``."""
     before = landed_before.select("symbol", "hour", F.lit(True).alias("before"))
     known = plan_hours(ranges).join(before, ["symbol", "hour"], "left").join(counts, ["symbol", "hour"], "left")
     status = F.when(F.col("before"), "resumed").when(F.col("ticks").isNotNull(), "written").otherwise("skipped")
