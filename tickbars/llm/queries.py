@@ -25,7 +25,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.dedup(documents(spark, sf_dir))
+    return near.dedup(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,4 +115,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_whitening": op13_whitening,
 }
 
-SQL: dict[str, str] = {}
+WORDS = r"[^\x20\x09-\x0D]+"
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+# SQL of the queries whose rows a contract fixes and SQL can express.
+SQL: dict[str, str] = {
+    "op1_near_dedup": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM s UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+least AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least ON u = doc_id""",
+    "op2_exact_dedup": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents),
+k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY plain ORDER BY length(text) DESC, doc_id) AS keep_id,
+  count(*) OVER (PARTITION BY plain) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM k""",
+    "op11_search": f"""
+WITH d AS (SELECT doc_id, {TERMS} AS w FROM documents),
+sizes AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scores AS (SELECT item_id, doc_id, CAST(sum(times * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN df USING (term) JOIN tf USING (term), sizes GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
+}
