@@ -347,6 +347,14 @@ def _(spark, sf_dir):
     return gaps.detect_gaps(A.ticks_shipments(spark, sf_dir), "1h")
 
 
+@query(
+    "gaps_shipments_5h",
+    f"WITH {A.SHIPMENTS_SQL},{A.gaps_sql(18000, 'ticks_shipments', 'timestamp_utc')} SELECT {GAP_OUT} FROM gaps",
+)
+def _(spark, sf_dir):
+    return gaps.detect_gaps(A.ticks_shipments(spark, sf_dir), "5h")
+
+
 _NEAR = "least(abs({m} - {t}), 1440 - abs({m} - {t})) <= 15"
 _MINUTE = "(hour({c}) * 60 + minute({c}))"
 _START, _END = _MINUTE.format(c="gap_start"), _MINUTE.format(c="gap_end")
@@ -776,25 +784,10 @@ def _(spark, sf_dir):
     return cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct())
 
 
-def _placed(ordered: DataFrame) -> DataFrame:
-    """The rows of a sorted frame with their ``place`` from 1 on.
-
-    Partitions of a global sort follow each other; the driver only sees how many rows each has.
-    """
-    low = 33  # monotonically_increasing_id has the partition above these bits
-    numbered = stored(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftright("_at", low)
-    sizes = sorted(numbered.groupBy(part.alias("part")).count().collect())
-    before = [(r["part"], sum(x["count"] for x in sizes[:i])) for i, r in enumerate(sizes)]
-    starts = numbered.sparkSession.createDataFrame(before, "_part long, _before long")
-    at = F.col("_at").bitwiseAND(F.lit((1 << low) - 1))
-    return numbered.join(starts, part == F.col("_part")).withColumn("place", F.col("_before") + at + 1).drop("_at", "_part", "_before")
-
-
 @query("time_places", f"WITH {A.DIRTY_SQL} SELECT {TICK_OUT}, row_number() OVER (ORDER BY symbol, timestamp_utc, seq) AS place FROM (SELECT DISTINCT * FROM ticks_dirty)")
 def _(spark, sf_dir):
     """All ticks by series and time, with their place."""
-    return _placed(cleaning.in_time_order(A.ticks_dirty(spark, sf_dir).distinct()))
+    return cleaning.with_places(A.ticks_dirty(spark, sf_dir).distinct())
 
 
 # --- the bar feed -----------------------------------------------------------------------------
@@ -1286,3 +1279,47 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     planned = ranges(A.ticks(spark, sf_dir)).replace({"CLICK": "XAUUSD", "ERROR": "USDJPY"}, subset=["symbol"])
     return hours.streamed_manifest(spark, planned, _hours_streamed(spark, sf_dir))
+
+
+# --- what a run does not take -----------------------------------------------------------------
+
+BARRED_SQL = f"""barred AS (SELECT * REPLACE (CASE WHEN symbol = 'VIEW' THEN 'VIEW/X' ELSE symbol END AS symbol,
+  CASE WHEN symbol = 'ERROR' AND hour(timestamp_utc) % 6 = 0 THEN NULL ELSE bid END AS bid) FROM kept)"""
+
+
+def _barred(spark, sf_dir) -> DataFrame:
+    """Ticks of which one symbol is not allowed in the ledger, and one has hours without a price."""
+    ticks = A.ticks_dirty(spark, sf_dir)
+    hollow_hours = (F.col("symbol") == "ERROR") & (F.hour("timestamp_utc") % 6 == 0)
+    return ticks.replace({"VIEW": "VIEW/X"}, subset=["symbol"]).withColumn("bid", F.when(~hollow_hours, F.col("bid")))
+
+
+def _barred_run(spark, sf_dir) -> tuple[DataFrame, str]:
+    rejected = scratch_path(spark, "run-rejected")
+    report = backfill(
+        spark, _barred(spark, sf_dir), "2024-01-01", "2024-01-31", timeframe="1h", now_ms=FIRST_WRITE, rejected_path=rejected,
+        archive_path=scratch_path(spark, "run-archive"), ledger_path=scratch_path(spark, "run-ledger"),
+    )
+    return report, rejected
+
+
+BARS_OF_BARRED = f"""WITH {KEPT_ROWS_SQL},{BARRED_SQL},{A.clean_sql('barred')},{A.bars_sql('1 hour')},
+judged AS (SELECT *, CASE WHEN symbol LIKE '%/%' THEN 'symbol not allowed' WHEN bar_open IS NULL THEN 'bar_open must be finite' END AS problem FROM bars)"""
+
+
+@query(
+    "run_report_mismatch",
+    BARS_OF_BARRED + """ SELECT symbol, count(*) AS candles_produced, count(problem) AS candles_rejected, count(*) - count(problem) AS ledger_rows,
+      CASE WHEN count(problem) = 0 THEN 'OK' ELSE printf('MISMATCH %d written, %d produced (%d)', count(*) - count(problem), count(*), -count(problem)) END AS reconcile,
+      'PASS' AS result FROM judged GROUP BY symbol""",
+)
+def _(spark, sf_dir):
+    """Candles the ledger does not take are told in the report and do not fail the run."""
+    return _barred_run(spark, sf_dir)[0].select("symbol", "candles_produced", "candles_rejected", "ledger_rows", "reconcile", "result")
+
+
+@query("run_rejected", BARS_OF_BARRED + f" SELECT symbol, '1h' AS timeframe, {CANDLE_OUT}, problem FROM judged WHERE problem IS NOT NULL")
+def _(spark, sf_dir):
+    """The candles the ledger did not take, with the reason."""
+    _, rejected = _barred_run(spark, sf_dir)
+    return spark.read.parquet(rejected).select("symbol", "timeframe", "bar_time", *ledger.CANDLE_PAGE[1:-1], "problem")

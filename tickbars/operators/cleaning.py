@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickbars.functions import columns as C
 from tickbars.functions.sessions import is_weekday
 from tickbars.schemas import SOURCE_TICKS, require_columns, series_keys
+from tickbars.session import stored
 
 TICK_IDENTITY = ("timestamp_utc", "symbol", "price")
 
@@ -68,6 +69,25 @@ def in_time_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*series_keys(df), time, *[c for c in ("seq",) if c in df.columns])
 
 
+def with_places(df: DataFrame) -> DataFrame:
+    """Rows by series and time with their ``place`` from 1 on, numbered without gathering them.
+
+    Partitions of a global sort follow each other; the driver only sees how many rows each has.
+    """
+    low = 33  # monotonically_increasing_id has the partition above these bits
+    numbered = stored(in_time_order(df).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", low)
+    sizes = sorted(numbered.groupBy(part.alias("part")).count().collect())
+    before, total = [], 0
+    for row in sizes:
+        before.append((row["part"], total))
+        total += row["count"]
+    starts = numbered.sparkSession.createDataFrame(before, "_part long, _before long")
+    at = F.col("_at").bitwiseAND(F.lit((1 << low) - 1))
+    placed = numbered.join(starts, part == F.col("_part")).withColumn("place", F.col("_before") + at + 1)
+    return placed.select(*df.columns, "place")
+
+
 def clean_ticks(raw: DataFrame, subset=TICK_IDENTITY) -> DataFrame:
     """The whole cleaning chain: UTC, mid price, one row for each tick."""
     require_columns(raw, SOURCE_TICKS.names, "clean_ticks")

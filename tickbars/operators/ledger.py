@@ -44,6 +44,17 @@ def valid_candle() -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, finite, C.valid_symbol(F.col("symbol"))), F.lit(False))
 
 
+def rejected_candles(candles: DataFrame) -> DataFrame:
+    """Candles the ledger does not take, with the reason as ``problem``: the quarantine beside :func:`ledger_rows`.
+
+    The first reason counts: the symbol, then open, high, low, close and volume in turn.
+    """
+    problem = F.when(~C.valid_symbol(F.col("symbol")), "symbol not allowed")
+    for c in CANDLE_VALUES:
+        problem = problem.when(C.finite(F.col(c)).isNull(), f"{c} must be finite")
+    return candles.withColumn("problem", problem).where(F.col("problem").isNotNull())
+
+
 def ledger_rows(candles: DataFrame, timeframe: str) -> DataFrame:
     """Candles as ledger rows.
 

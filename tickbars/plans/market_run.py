@@ -20,7 +20,7 @@ from tickbars.operators.bars import resample
 from tickbars.operators.cleaning import clean_ticks, drop_repeated_rows
 from tickbars.operators.gaps import classify_gaps, detect_gaps
 from tickbars.operators.indicators import compute_atr
-from tickbars.operators.ledger import ledger_rows, upsert_candles, valid_candle
+from tickbars.operators.ledger import ledger_rows, rejected_candles, upsert_candles, valid_candle
 from tickbars.session import stored
 from tickbars.sources.bronze import archive_days, in_days, read_archive
 from tickbars.streaming.live import live_ticks, trim_leading_partial
@@ -94,8 +94,12 @@ def result(stages: Column) -> Column:
     return F.when(F.exists(stages, lambda s: s["status"] == "fail"), "FAIL").otherwise("PASS")
 
 
-def _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry_run, keep=lambda candles: candles):
-    """The stages every run shares.  They read ``work["ticks"]``; *keep* may drop candles."""
+def _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry_run, keep=lambda candles: candles,
+                   rejected_path=None):
+    """The stages every run shares.  They read ``work["ticks"]``; *keep* may drop candles.
+
+    With *rejected_path* the candles the ledger does not take are written there, with the reason.
+    """
     rows = F.count(F.lit(1))
 
     def clean():
@@ -123,6 +127,9 @@ def _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry
         log.count(work["candles"].where(~valid_candle()), candles_rejected=rows)
         if dry_run:
             return "skipped", "ledger not written (dry run)"
+        if rejected_path:
+            lost = rejected_candles(work["candles"]).withColumns({"timeframe": F.lit(timeframe), "rejected_at": F.lit(now_ms)})
+            lost.write.mode("append").parquet(rejected_path)
         good = stored(ledger_rows(work["candles"].where(valid_candle()), timeframe), "run-ledger-rows")
         written = upsert_candles(spark, ledger_path, good, now_ms)
         log.count(good, ledger_rows=rows)
@@ -132,12 +139,14 @@ def _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry
 
 
 def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, archive_path: str, ledger_path: str,
-             timeframe: str = "5min", period: int = 14, now_ms: int | None = None, dry_run: bool = False) -> DataFrame:
+             timeframe: str = "5min", period: int = 14, now_ms: int | None = None, dry_run: bool = False,
+             rejected_path: str | None = None) -> DataFrame:
     """Raw ticks of inclusive days to archive, candles and ledger; returns the report, a row for each symbol.
 
     Candles come from the archived days that *ticks* has, symbol by symbol: what
     other runs have archived stays out.  A dry run computes everything and writes
-    neither archive nor ledger.
+    neither archive nor ledger.  With *rejected_path* the candles the ledger does not take
+    are kept there, with the reason.
     """
     start, end = check_days(start, end)
     timeframe_seconds(check_timeframe_name(timeframe))
@@ -166,7 +175,9 @@ def backfill(spark: SparkSession, ticks: DataFrame, start: str, end: str, *, arc
         log.counts.append(log.counts[-1].withColumnRenamed("ticks_ingested", "archive_rows"))
         return "ok", f"{found} ticks"
 
-    shared = _candle_stages(spark, log, work, timeframe, period, ledger_path, now_ms, dry_run)
+    shared = _candle_stages(
+        spark, log, work, timeframe, period, ledger_path, now_ms, dry_run, rejected_path=rejected_path
+    )
     for name, stage in zip(STAGES, [source, archive, *shared]):
         log.run(name, stage)
     return log.frame(spark)
