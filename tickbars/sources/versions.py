@@ -53,6 +53,8 @@ class VersionedTable:
             return spark.createDataFrame([], schema)
         since = max((i for i, n in enumerate(names) if n.endswith(ALL)), default=0)
         rows = spark.read.schema(schema).parquet(*[f"{self.path}/_manifests/{n}" for n in names[since:]])
+        if since == len(names) - 1:
+            return rows  # one manifest of all partitions is resolved already
         base = F.max(F.when(~F.col("added"), F.col("version")))
         pieces = F.collect_set(F.struct("version", "added"))
         parts = rows.groupBy(*self.partitions).agg(base.alias("_base"), pieces.alias("_pieces"))
@@ -77,15 +79,20 @@ class VersionedTable:
         Only folders of versions that hold such a partition are listed, and filters on
         partition columns skip directories within.  Empty when nothing was written.
         """
-        return self.pieces(spark, where).select(*self.schema.names)
+        rows, manifest = self._named(spark, where)
+        return rows.join(manifest, [*self.partitions, "version"], "left_semi").select(*self.schema.names)
 
-    def pieces(self, spark: SparkSession, where: Column | None = None) -> DataFrame:
-        """:meth:`read` with ``pieces``: of how many versions the row's partition is made."""
+    def _named(self, spark: SparkSession, where: Column | None) -> tuple[DataFrame, DataFrame]:
+        """The files of the versions that hold a wanted partition, and the manifest of those partitions."""
         manifest = self.manifest(spark)
         manifest = manifest if where is None else manifest.where(where)
         versions = sorted(r.version for r in manifest.select("version").distinct().collect())
         rows = self._rows(spark, versions)
-        rows = rows if where is None else rows.where(where)
+        return (rows if where is None else rows.where(where)), manifest
+
+    def pieces(self, spark: SparkSession, where: Column | None = None) -> DataFrame:
+        """:meth:`read` with ``pieces``: of how many versions the row's partition is made."""
+        rows, manifest = self._named(spark, where)
         named = manifest.groupBy(*self.partitions).agg(
             F.collect_set("version").alias("_versions"), F.count(F.lit(1)).alias("pieces")
         ).select(*self.partitions, "pieces", F.explode("_versions").alias("version"))
@@ -117,19 +124,18 @@ class VersionedTable:
         fresh = self._rows(spark, [version]).select(*self.partitions, "version").distinct().withColumn("added", F.lit(added))
         since = next((i for i, n in enumerate(reversed(names)) if n.endswith(ALL)), len(names))
         old = self._resolved(spark, names)
-        sizes = old.select(F.lit(1).alias("was"), F.lit(0).alias("now")).unionByName(
-            fresh.select(F.lit(0).alias("was"), F.lit(1).alias("now"))
-        ).agg(F.sum("was").alias("was"), F.sum("now").alias("now")).first()
-        if since >= ALL_EVERY or sizes["was"] <= 2 * sizes["now"]:
+        touched = fresh.persist()  # found from the files once
+        if not names or since >= ALL_EVERY or old.count() <= 2 * fresh.count():
             if not added:
                 old = old.join(fresh.select(*self.partitions), list(self.partitions), "left_anti")
             fresh, version = old.unionByName(fresh), version + ALL
         fresh.write.parquet(f"{self.path}/_manifests/{version}")
+        touched.unpersist()
         self._clean(spark, [*names, version])
 
     def _clean(self, spark: SparkSession, names: list[str]) -> None:
         """Remove manifests that no kept state needs, and versions that none of those names."""
-        if not names[-1].endswith(ALL):
+        if not names[-1].endswith(ALL) or len(names) == 1:
             return
         states = [self._resolved(spark, names[: len(names) - i]).select("version") for i in range(min(KEPT_STATES, len(names)))]
         used = {r.version for r in reduce(DataFrame.unionByName, states).distinct().collect()}
