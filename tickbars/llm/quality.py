@@ -5,11 +5,15 @@ Only DataFrame functions run here.  Every document is measured in its own row
 of vote patterns, of which there are at most ``3 ** len(RULES)``.
 
 Model: a document is good or bad; a rule that votes is right with one accuracy on
-good and another on bad ones, and abstains as often on either.  Accuracies and the
-share of good documents are fitted on the pattern counts of the whole table.
+good and another on bad ones, and abstains as often on either.  A rule votes for a
+good document at least as often as for a bad one.  Accuracies and the share of good
+documents are those of the greatest likelihood under these bounds, fitted on the
+pattern counts of the whole table.
+
+The base rule (too few words, too many repeated ones) stands apart: it is no voter.
 
 Defined results: a null text counts as empty (no words); such a text fails the
-base rule.  Rows with a null id and repeated rows are measured like any other;
+base rule.  A text of any length is measured whole.  Rows with a null id and repeated rows are measured like any other;
 each row gets its own result.  An empty table gives an empty result.  Columns of
 the input named like a result are replaced.
 """
@@ -39,7 +43,7 @@ STOP_WORDS = (
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_lines", "n_stop_words", "n_lettered"]
-RULES = ["length", "symbols", "lines", "repeats", "word_length", "stop_words", "letters"]
+RULES = ["symbols", "lines", "repeats", "word_length", "stop_words", "letters"]
 
 
 def _words(text: Column) -> Column:
@@ -111,7 +115,6 @@ def votes() -> dict[str, Column]:
     share = lambda name, of: F.col(name) / of
     mean = F.col("word_chars") / words
     return {
-        "length": _vote(F.col("n_words") >= 60, F.col("n_words") < MIN_WORDS),
         "symbols": _vote(share("n_symbols", words) <= 0.02, share("n_symbols", words) >= 0.2),
         "lines": _vote((F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 2), share("n_dup_lines", lines) >= 0.3),
         "repeats": _vote(share("n_repeat_words", words) <= 0.1, share("n_repeat_words", words) >= 0.3),
@@ -121,7 +124,6 @@ def votes() -> dict[str, Column]:
     }
 
 
-
 @dataclass(frozen=True)
 class Model:
     """Share of good documents; for each rule how often its vote is right on good and on bad ones."""
@@ -131,14 +133,11 @@ class Model:
     on_bad: dict[str, float]
 
     def posterior(self) -> Column:
-        """Probability that a row with the vote columns is good.
-
-        A vote for never counts against a document, nor one against for it.
-        """
+        """Probability that a row with the vote columns is good."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for rule in RULES:
             good, bad = self.on_good[rule], self.on_bad[rule]
-            gain, loss = max(0.0, math.log(good / (1 - bad))), max(0.0, math.log(bad / (1 - good)))
+            gain, loss = math.log(good / (1 - bad)), math.log(bad / (1 - good))
             odds = odds + F.when(F.col(rule) == 1, F.lit(gain)).when(F.col(rule) == -1, F.lit(-loss)).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
@@ -146,6 +145,22 @@ class Model:
 FIRST = Model(0.8, {rule: 0.9 for rule in RULES}, {rule: 0.4 for rule in RULES})
 
 
+def _clip(x: float, low: float, high: float) -> float:
+    return min(max(x, low), high)
+
+
+def accuracies(good_for: float, good: float, bad_for: float, bad: float) -> tuple[float, float]:
+    """How often a rule is right on good and on bad documents, from the weights of its votes on them.
+
+    The likeliest shares of votes for, where that among the good is not below that
+    among the bad: where it would be, both are the share among all.
+    """
+    among_good, among_bad = good_for / good, bad_for / bad
+    if among_good < among_bad:
+        among_good = among_bad = (good_for + bad_for) / (good + bad)
+    return _clip(among_good, 0.02, 0.98), 1 - _clip(among_bad, 0.02, 0.98)
+
+
 def fit(votes_table: DataFrame, rounds: int = 40, settled: float = 1e-4) -> Model:
     """Fit by expectation-maximisation on the counts of vote patterns.
 
@@ -154,24 +169,26 @@ def fit(votes_table: DataFrame, rounds: int = 40, settled: float = 1e-4) -> Mode
     """
     patterns = stored(votes_table.groupBy(*RULES).agg(F.count("*").alias("_n")).coalesce(1), "patterns")
     model = FIRST
-    clip = lambda x, low, high: min(max(x, low), high)
     n, p = F.col("_n"), F.col("_p")
-
-    def right(rule: str, vote: int, weight: Column) -> Column:
-        return F.sum(F.when(F.col(rule) == vote, weight)) / F.sum(F.when(F.col(rule) != 0, weight))
-
+    sums = [
+        F.sum(F.when(chosen, weight)).alias(f"{rule}{at}")
+        for rule in RULES
+        for at, (chosen, weight) in enumerate(
+            (chosen, weight) for weight in (n * p, n * (1 - p)) for chosen in (F.col(rule) == 1, F.col(rule) != 0)
+        )
+    ]
     for _ in range(rounds):
-        found = patterns.select("*", model.posterior().alias("_p")).agg(
-            (F.sum(n * p) / F.sum(n)).alias("_prior"),
-            *(F.coalesce(right(r, 1, n * p), F.when(F.max(F.abs(r)) > 0, 0.0)).alias(f"{r}+") for r in RULES),
-            *(F.coalesce(right(r, -1, n * (1 - p)), F.when(F.max(F.abs(r)) > 0, 0.0)).alias(f"{r}-") for r in RULES),
-        ).first()
+        rows = patterns.select("*", model.posterior().alias("_p"))
+        found = rows.agg((F.sum(n * p) / F.sum(n)).alias("_prior"), *sums).first()
         if found["_prior"] is None:
             return model
+        right = {}
+        for rule in RULES:
+            weights = [found[f"{rule}{at}"] or 0.0 for at in range(4)]
+            voted = weights[1] > 0 and weights[3] > 0
+            right[rule] = accuracies(*weights) if voted else (model.on_good[rule], model.on_bad[rule])
         new = Model(
-            clip(found["_prior"], 0.05, 0.95),
-            {r: clip(model.on_good[r] if found[f"{r}+"] is None else found[f"{r}+"], 0.02, 0.98) for r in RULES},
-            {r: clip(model.on_bad[r] if found[f"{r}-"] is None else found[f"{r}-"], 0.02, 0.98) for r in RULES},
+            _clip(found["_prior"], 0.05, 0.95), {r: x[0] for r, x in right.items()}, {r: x[1] for r, x in right.items()}
         )
         moved = max(
             abs(new.prior - model.prior),
@@ -203,15 +220,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return judge(measured, fit(vote_table(measured)))
 
 
-def keep(docs: DataFrame, text: str = "text") -> DataFrame:
+def keep(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of *docs* that pass, with the columns of *docs*.
 
-    The model is fitted first; the rows are then measured again and filtered in
-    place, so no text is shuffled and repeated rows or null ids need no key.
+    Each text is measured once: the rows are written with their votes, those that
+    fail the base rule as votes alone, and are filtered when the model stands.  No
+    text is shuffled, and repeated rows or null ids need no key.
     """
-    slim = docs.select(F.col(text).alias("text"))
-    model = fit(stored(vote_table(measure(slim)), "votes"))
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("text"))
-    # the row number keeps the filter above the measures: moved below, it would repeat them inside each other
-    judged = judge(measure(whole), model).select("_row", "kept", F.monotonically_increasing_id().alias("_at"))
-    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
+    voted = measure(whole).select("_row", base_failed().alias("_failed"), *(v.alias(r) for r, v in votes().items()))
+    held = stored(voted.withColumn("_row", F.when(~F.col("_failed"), F.col("_row"))), "voted")
+    good = fit(held.select(*RULES)).posterior() >= threshold
+    return held.where(~F.col("_failed") & good).select("_row.*")
