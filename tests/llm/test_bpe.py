@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -85,3 +86,54 @@ def test_digests_and_columns(spark, tokenizer):
     assert all(tokenizer.decode(r["ids"], skip_special_tokens=False) == (r["text"] or "") for r in encoded.collect())
     assert bpe.digests(frame(spark, []), vocabulary()).count() == 0 and bpe.encode(frame(spark, []), vocabulary()).count() == 0
     assert np.array([v.isascii() for v in bpe.byte_alphabet()]).sum() == 94
+
+
+def test_long_words_are_proposed_and_verified_like_short_ones(loaded, tokenizer, monkeypatch):
+    v, _ = loaded
+    rnd = random.Random(3)
+    long = ["".join(rnd.choice(["the", "ing", "er", "x", "é", "日"]) for _ in range(n)) for n in (90, 300, 2000)] + ["the" * 400, "-" * 999]
+    got = ids_of(loaded, long)
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in long]
+    found = [t.encode() for t in CASES + long if t]
+    ids, counts = v.encode_words(found)
+    for step in (0, 4, 1 << 20):
+        monkeypatch.setattr(bpe, "STEP_BYTES", step)
+        again, lengths = v.encode_words(found)
+        assert again.tolist() == ids.tolist() and lengths.tolist() == counts.tolist()
+    redone = []
+    monkeypatch.setattr(v, "merge", lambda word: redone.append(word) or [])
+    monkeypatch.setattr(bpe, "STEP_BYTES", 8)
+    pairs = ([a, b] for a in range(300, 900) for b in range(300, 900) if len(v.tokens[a] + v.tokens[b]) > 8)
+    good = (p for p in pairs if v.propose_one(v.tokens[p[0]] + v.tokens[p[1]]) == p and v.compatible(*np.array(p)[:, None])[0])
+    a, b = next(good)
+    ids, _ = v.encode_words([v.tokens[a] + v.tokens[b]])
+    assert ids.tolist() == [a, b] and redone == []
+
+
+def test_pairs_are_forgotten_when_they_are_many(loaded, tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "HELD_PAIRS", 20)
+    texts = [prose(i, 60) for i in range(6)]
+    v, _ = loaded
+    small = units.Encoder(v.encode_pieces)
+    for text in texts:
+        data, offsets = words.text_bytes(pa.array([text]))
+        ids = [found.tolist() for _, _, found, _ in small.texts(data, offsets)]
+        assert ids == [tokenizer.encode(text, add_special_tokens=False).ids]
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda f: f.update(normalizer={"type": "NFC"}), lambda f: f["pre_tokenizer"].update(add_prefix_space=True),
+        lambda f: f.update(pre_tokenizer={"type": "Whitespace"}), lambda f: f["model"].update(ignore_merges=True),
+        lambda f: f["model"].update(dropout=0.1), lambda f: f["added_tokens"][0].update(lstrip=True),
+        lambda f: f["model"]["vocab"].pop("a"), lambda f: f["model"].update(type="Unigram"), lambda f: f.update(decoder=None),
+    ],
+)
+def test_other_files_are_an_error(change):
+    content = bpe.file_content(vocabulary())
+    bpe.check_file(content)
+    spec = json.loads(content)
+    change(spec)
+    with pytest.raises(ValueError, match="not a plain byte-level BPE file"):
+        bpe.check_file(json.dumps(spec))

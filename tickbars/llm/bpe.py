@@ -6,11 +6,15 @@ that is, if merging the bytes of the two by the rules gives back the two.  All
 distinct pairs are tested at once: a merge over the boundary can happen only between
 a token at the right edge of the first and one at the left edge of the second while
 both exist, so the ranks at which they are made, and used up, decide.  Words with a
-pair that fails are merged exactly, rule by rule.
+pair that fails are merged exactly, rule by rule.  Words of any length take this way.
+
+Only files of this kind are taken: byte-level BPE cut by PATTERN, whole words merged
+by rank, added tokens found as they stand.  Any other file is an error on the driver.
 
 Defined results: a null text counts as empty and has no ids.  Added tokens in a text
 become their ids.  Decoding replaces bytes that are no UTF-8.  Rows with null or
-repeated ids are encoded like any other; an empty table gives an empty result.
+repeated ids are encoded like any other; an empty table gives an empty result.  Texts
+of any length are encoded whole.  A column of the input named like the ids is replaced.
 """
 
 from __future__ import annotations
@@ -33,7 +37,36 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 NEVER = 1 << 30
-LONG_WORD = 256
+STEP_BYTES = 256  # words up to this length are walked side by side, longer ones each for itself
+HELD_PAIRS = 1 << 22
+# Fixed values of the format: what a tokenizer file of this kind says, and what it may leave out.
+MODEL_FLAGS = {
+    "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
+    "byte_fallback": False, "ignore_merges": False,
+}
+TOKEN_FLAGS = ("single_word", "lstrip", "rstrip", "normalized")
+
+
+def check_file(content: str) -> None:
+    """Raise ValueError unless the tokenizer file is of the kind that this module encodes."""
+    spec = json.loads(content)
+    model, cut, decoder = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
+    wrong = []
+    if model.get("type", "BPE") != "BPE":
+        wrong.append(f"model {model['type']}")
+    wrong += [name for name, want in MODEL_FLAGS.items() if (model.get(name) or want) != want]
+    if spec.get("normalizer") is not None:
+        wrong.append("normalizer")
+    if cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut.get("add_prefix_space", True):
+        wrong.append("pre_tokenizer")
+    if decoder.get("type") != "ByteLevel":
+        wrong.append("decoder")
+    wrong += [f"{flag} of {t['content']}" for t in spec["added_tokens"] for flag in TOKEN_FLAGS if t.get(flag)]
+    missing = [c for c in byte_alphabet() if c not in model["vocab"]]
+    if missing:
+        wrong.append(f"{len(missing)} bytes without a token")
+    if wrong:
+        raise ValueError("not a plain byte-level BPE file: " + ", ".join(wrong))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -91,11 +124,13 @@ class Vocabulary:
                 if token[:n] not in states:
                     states[token[:n]] = len(states)
                     edges[states[token[: n - 1]] * 256 + token[n - 1]] = states[token[:n]]
+        self.steps = edges
         self.edges = np.array(sorted(edges), np.int64)
         self.leads = np.array([edges[e] for e in self.edges.tolist()], np.int64)
         self.token_at = np.full(len(states), -1, np.int64)
         for token, i in self.proposed.items():
             self.token_at[states[token]] = i
+        self.token_ids: list[int] = self.token_at.tolist()
 
     def _tables(self) -> None:
         sizes = np.array([len(self.tokens.get(i, b"")) for i in range(self.size)], np.int64)
@@ -129,6 +164,8 @@ class Vocabulary:
     def propose(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Greedy tokens of all words at once: (word, token) rows in the order of each word."""
         n = len(starts)
+        if not n:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         state, at, best, best_end = np.zeros(n, np.int64), starts.copy(), np.full(n, -1), starts.copy()
         live = np.arange(n)
         out_words, out_tokens = [], []
@@ -155,6 +192,19 @@ class Vocabulary:
         order = np.argsort(word, kind="stable")
         return word[order], token[order]
 
+    def propose_one(self, word: bytes) -> list[int]:
+        """Greedy tokens of one word."""
+        out, at = [], 0
+        while at < len(word):
+            state, to, best, best_end = 0, at, -1, at + 1
+            while to < len(word) and (after := self.steps.get(state * 256 + word[to])) is not None:
+                state, to = after, to + 1
+                if self.token_ids[state] >= 0:
+                    best, best_end = self.token_ids[state], to
+            out.append(best)
+            at = best_end
+        return out
+
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
         place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
@@ -182,7 +232,9 @@ class Vocabulary:
         return good
 
     def known_compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """``compatible`` with the answers kept; at most the square of the vocabulary, in practice far less."""
+        """``compatible`` with the answers kept, of about HELD_PAIRS pairs; then they are found anew."""
+        if len(self.tested) > HELD_PAIRS:
+            self.tested, self.good = np.empty(0, np.int64), np.empty(0, bool)
         keys, which = np.unique(a * self.size + b, return_inverse=True)
         new = keys[~np.isin(keys, self.tested, assume_unique=True)]
         if len(new):
@@ -197,12 +249,13 @@ class Vocabulary:
         flat = np.frombuffer(b"".join(found), np.uint8)
         lengths = np.array([len(w) for w in found], np.int64)
         ends = np.cumsum(lengths)
-        short = np.flatnonzero(lengths <= LONG_WORD)
+        short, long = np.flatnonzero(lengths <= STEP_BYTES), np.flatnonzero(lengths > STEP_BYTES)
         word, token = self.propose(flat, (ends - lengths)[short], ends[short])
-        word = short[word]
+        alone = [np.array(self.propose_one(found[w]), np.int64) for w in long.tolist()]
+        word = np.concatenate([short[word], np.repeat(long, [len(t) for t in alone])])
+        token = np.concatenate([token, *alone])
         beside = np.flatnonzero(word[:-1] == word[1:])
         fine = np.ones(len(found), bool)
-        fine[lengths > LONG_WORD] = False
         if len(beside):
             good = self.known_compatible(token[beside], token[beside + 1])
             fine[word[beside[~good]]] = False
@@ -269,12 +322,18 @@ def file_content(path: str) -> str:
         return file.read()
 
 
+def checked_content(path: str) -> str:
+    content = file_content(path)
+    check_file(content)
+    return content
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", keep_text: bool = False) -> DataFrame:
     """*docs* with the token ids of *text* as an array column, in place of the text unless *keep_text*.
 
-    The tokenizer file at *path* is read by the driver.
+    The tokenizer file at *path* is read and checked by the driver.
     """
-    content = docs.sparkSession.sparkContext.broadcast(file_content(path))
+    content = docs.sparkSession.sparkContext.broadcast(checked_content(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder = loaded(content.value)
@@ -295,7 +354,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", kee
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document: n_tokens and the SHA-256 of its ids (32-bit, little-endian) and of the text decoded from them."""
-    content = docs.sparkSession.sparkContext.broadcast(file_content(path))
+    content = docs.sparkSession.sparkContext.broadcast(checked_content(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, encoder = loaded(content.value)
