@@ -53,5 +53,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# EM, sketches, seeded blocks and BPE are beyond SQL; tests hold run() against a brute-force version.
+# EM, sketches, seeded blocks and BPE are beyond SQL; tests hold each operator against a brute-force version, run() only by its documents.
 ORACLE_SQL = None
