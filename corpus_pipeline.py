@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tickbars.llm import bpe, exact, mix, near, quality
 from tickbars.llm.queries import documents, vocabulary
-from tickbars.session import stored
+from tickbars.session import discard, settled
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +47,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents; each stage is written and read again by the next."""
-    docs = documents(spark, sf_dir)
+    """All stages on the documents; each stage is written and read again by the next, and deleted when that is written."""
+    docs, written = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = settled(partial(stage, spark, docs, sf_dir), name)
+        discard(*written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

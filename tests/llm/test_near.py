@@ -1,11 +1,13 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from docs import awkward, edited, frame, prose, shingles
 
 from tickbars.llm import graph, near, words
+from tickbars.session import SCRATCH, shared_dir
 
 NONE = 1 << 62
 
@@ -117,3 +119,12 @@ def test_pairs_that_share_a_band_or_two_are_tested(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near.dedup(frame(spark, rows)).collect()}
     # all but the one pair that shares neither band
     assert [i for i in range(14) if got[2 * i] != got[2 * i + 1]] == [11]
+
+
+def test_only_the_placed_rows_stay_in_scratch(spark):
+    folder = Path(shared_dir(spark), SCRATCH)
+    tables = lambda: {p.name for p in folder.iterdir()} if folder.exists() else set()
+    before = tables()
+    got = near.dedup(frame(spark, awkward()))
+    assert [name.split("-")[0] for name in tables() - before] == ["placed"]
+    assert got.count() == len(awkward())

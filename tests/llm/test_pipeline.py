@@ -1,3 +1,6 @@
+import contextlib
+import io
+import re
 import subprocess
 import sys
 from collections import Counter
@@ -5,12 +8,13 @@ from pathlib import Path
 
 import corpus_pipeline
 import pytest
-from docs import frame, prose, shingles
+from docs import awkward, frame, prose, shingles
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickbars.llm import exact, near, quality
+from tickbars.llm import exact, mix, near, quality, rows
 from tickbars.llm.queries import QUERIES, vocabulary
-from tickbars.session import stored
+from tickbars.session import SCRATCH, shared_dir, stored
 
 ROOT = Path(__file__).parents[2]
 
@@ -83,3 +87,39 @@ def test_the_rest_works_without_this_part():
         "assert len(e.queries()) > 50 and not [q for q in e.queries() if q.startswith('op') or q == 'pipeline']\n"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("keep", [exact.keep, near.keep, mix.keep], ids=["exact", "near", "mix"])
+def test_whole_rows_are_exchanged_once(spark, keep):
+    docs = frame(spark, awkward() * 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep(docs)
+        # an aggregate's buffer of whole rows is named first
+        assert len(re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[[^\]]*(?<=[\[ ])(?:_row|first)#", plan_of(kept))) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_are_kept_by_id_and_text(spark):
+    docs = spark.createDataFrame([(i, t) for i in (None, "", "a", "b") for t in (None, "", "x")] * 2, "id string, text string")
+    named = [(None, None), (None, "x"), ("", ""), ("a", "x"), ("c", "x")]
+    kept = spark.createDataFrame(named, "id string, text string").select("id", rows.text_key(F.col("text")).alias("text_key"))
+    got = rows.rows_kept(docs, kept, "id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(named[:4])
+
+
+def test_a_run_leaves_the_last_stage_only(spark, sf_dir):
+    folder = Path(shared_dir(spark), SCRATCH)
+    tables = lambda: {p.name for p in folder.iterdir()} if folder.exists() else set()
+    before = tables()
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert [name.split("-")[0] for name in tables() - before] == ["mix_sources"]
+    assert out.count() > 0

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from tickbars import session
@@ -42,3 +44,24 @@ def test_discard_deletes_scratch_tables_only(spark, tmp_path):
     assert spark.read.parquet(own).count() == 3
     files, path = session.files_of(spark, table.inputFiles()[0])
     assert not files.exists(path)
+
+
+def scratch_tables(spark):
+    folder = Path(session.shared_dir(spark), session.SCRATCH)
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_settled_leaves_its_result_only(spark):
+    def doubled(n):
+        return session.stored(spark.range(n), "half").selectExpr("id * 2 AS id")
+
+    def work():
+        kept = session.settled(lambda: doubled(5), "inner")
+        assert not [name for name in scratch_tables(spark) - before if name.startswith("half")]
+        return session.stored(kept, "middle").unionAll(doubled(3))
+
+    before = scratch_tables(spark)
+    outside = session.stored(spark.range(4), "outside")
+    got = session.settled(work, "result")
+    assert sorted(r.id for r in got.collect()) == [0, 0, 2, 2, 4, 4, 6, 8] and outside.count() == 4
+    assert sorted(name.split("-")[0] for name in scratch_tables(spark) - before) == ["outside", "result"]

@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickbars.llm.rows import KEY, row_key
 from tickbars.session import stored
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -232,15 +233,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of *docs* that stay, one of each group, with the columns of *docs*."""
     best = tree_merge(entries(docs, doc_id, text)).select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_id"), F.col("n_points").alias("_points")
+        *row_key(F.col("keep_id"), F.col("digest")), F.col("n_points").alias("_points")
     )
     whole = docs.select(
-        F.struct(*docs.columns).alias("_row"), digest(F.col(text)).alias("_text_digest"),
-        F.col(doc_id).alias("_row_id"), F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("_row_points"),
+        F.struct(*docs.columns).alias("_row"), *row_key(F.col(doc_id).cast("long"), digest(F.col(text))),
+        F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("_points"),
     )
-    same = (
-        (F.col("_text_digest") == F.col("_digest"))
-        & F.col("_row_id").eqNullSafe(F.col("_id"))
-        & (F.col("_row_points") == F.col("_points"))
-    )
-    return whole.join(best, same, "left_semi").dropDuplicates(["_text_digest"]).select("_row.*")
+    # no column is null and both steps have the same ones, so that a text is exchanged once
+    same = [*KEY, "_points"]
+    return whole.dropDuplicates(same).join(best, same, "left_semi").select("_row.*")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.rows import text_key
+from tickbars.llm.rows import KEY, keyed, row_key, text_key
 from tickbars.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -176,12 +176,8 @@ def keep(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     A document cut by the edge of a block is in if at least half of it is.
     """
     copies = mix(docs, doc_id, source, text).select(
-        F.col("doc_id").alias("_taken_id"), F.col("text_key").alias("_taken_key"),
+        *row_key(F.col("doc_id"), F.col("text_key")),
         F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int").alias("_n"),
-    ).groupBy("_taken_id", "_taken_key").agg(F.sum("_n").cast("int").alias("_copies")).where("_copies > 0")
-    whole = docs.select(
-        F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("_id"), text_key(F.col(text)).alias("_key")
-    )
-    same = (F.col("_key") == F.col("_taken_key")) & F.col("_id").eqNullSafe(F.col("_taken_id"))
-    once = whole.join(copies, same).dropDuplicates(["_id", "_key"])
+    ).groupBy(*KEY).agg(F.sum("_n").cast("int").alias("_copies")).where("_copies > 0")
+    once = keyed(docs, doc_id, text).join(copies, KEY)
     return once.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")

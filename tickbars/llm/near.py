@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tickbars.llm import rows, words
 from tickbars.llm.graph import components
-from tickbars.session import stored
+from tickbars.session import settled, stored
 
 SHINGLE = 5
 BANDS, BAND = 32, 3
@@ -277,9 +277,9 @@ def _several(labelled: DataFrame) -> DataFrame:
     return labelled.join(ends.select("key"), "key", "left_semi")
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, and its text_key."""
-    ids, table = sketches(docs, doc_id, text)
+def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(row, id, text_key, n_shingles, component) of each document."""
+    _, table = sketches(docs, doc_id, text)
     some = table.where("n_shingles > 0")
     same = ["set_a", "set_b", "n_shingles"]
     classes = stored(
@@ -307,29 +307,34 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     stars = stored(
         spokes.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct(), "stars"
     )
-    found = stored(links(stars, classes, texts), "links")
-    labels = components(found)
+    found = settled(lambda: links(stars, classes, texts), "links")
 
-    labelled = stored(
-        members.select("key", "node").join(labels, "node", "left").select(
+    labelled = settled(
+        lambda: members.select("key", "node").join(components(found), "node", "left").select(
             "key", "node", F.coalesce("component", "node").alias("component")
         ),
         "labelled",
     )
     rest = stored(_several(labelled), "several")
-    across = pairs_across(rest, classes, texts).join(stars, ["u", "v"], "left_anti")
-    more = links(across, classes, texts)
-    labels = stored(components(found.unionAll(more)), "components")
+    more = settled(
+        lambda: links(pairs_across(rest, classes, texts).join(stars, ["u", "v"], "left_anti"), classes, texts), "more"
+    )
+    labels = components(found.unionAll(more))
 
     member = some.select("row", *same).join(classes.select(*same, "node"), same).join(labels, "node", "left").select(
         "row", F.coalesce("component", "node").alias("component")
     )
-    placed = stored(
-        table.select("row", "id", "text_key", "n_shingles").join(member, "row", "left").select(
-            "row", "id", "text_key", "n_shingles", F.coalesce("component", "row").alias("component")
-        ),
-        "placed",
+    return table.select("row", "id", "text_key", "n_shingles").join(member, "row", "left").select(
+        "row", "id", "text_key", "n_shingles", F.coalesce("component", "row").alias("component")
     )
+
+
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept, and its text_key.
+
+    Sketches and packed texts are deleted when every document has its component.
+    """
+    placed = settled(lambda: _placed(docs, doc_id, text), "placed")
     best = placed.groupBy("component").agg(
         F.min("id").alias("component_id"),
         F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))).alias("_best"),

@@ -229,6 +229,6 @@ def keep(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFra
     """
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("text"))
     voted = measure(whole).select("_row", base_failed().alias("_failed"), *(v.alias(r) for r, v in votes().items()))
-    held = stored(voted.withColumn("_row", F.when(~F.col("_failed"), F.col("_row"))), "voted")
+    held = stored(voted.withColumn("_row", F.when(~F.col("_failed"), F.col("_row"))), "voted", compression="zstd")
     good = fit(held.select(*RULES)).posterior() >= threshold
     return held.where(~F.col("_failed") & good).select("_row.*")

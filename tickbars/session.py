@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SCRATCH = "tickbars"
+# Folders that stored() has written inside the innermost settled().
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 # Timestamps are instants; calendar functions and naive strings are read as UTC.
 SETTINGS = {
@@ -90,8 +94,8 @@ def read_or_empty(spark: SparkSession, schema: StructType, path: str, **options:
         return spark.createDataFrame([], schema)
 
 
-def stored(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write *df* once to the shared folder and read it back.
+def stored(df: DataFrame, label: str = "table", **options: str) -> DataFrame:
+    """Write *df* once to the shared folder and read it back; *options* are the writer's.
 
     Cuts the lineage at a place that survives the loss of executors.  Used where
     a small result (bars) of a large scan (ticks) feeds a plan that reads it
@@ -99,5 +103,26 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(make: Callable[[], DataFrame], label: str = "table") -> DataFrame:
+    """The frame that *make* returns, stored; the tables that were stored to make it are deleted.
+
+    Nothing else that *make* has built may be read afterwards.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        frame = make()
+    finally:
+        _MADE.reset(token)
+    table = stored(frame, label)
+    for folder in made:
+        files, path = files_of(table.sparkSession, folder)
+        files.delete(path, True)
+    return table
