@@ -1,4 +1,4 @@
-"""Files made from ticks."""
+"""Files made from ticks, and hour files read in few tasks."""
 
 import collections
 import lzma
@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from checks import landing
 from helpers import at, plan
 from tickbars.schemas import TICKS
+from tickbars.sources import tickfiles
 from tickbars.sources.tickfiles import RECORD
+from tickbars.streaming import hours
 
 
 def row(second, symbol, seq, ask=2.0, volume=1.0):
@@ -57,3 +59,31 @@ def test_a_price_that_is_no_record_is_an_error(spark, bad):
     files = landing.tick_files(spark.createDataFrame([row(1, "EURUSD", 1), row(2, "EURUSD", 2, **bad)], TICKS))
     with pytest.raises(PythonException):
         files.select(F.octet_length("content")).collect()
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tickfiles, "SCAN_TASKS", 2, raising=False)
+    cores = spark.sparkContext.defaultParallelism
+    rows = [row(i, f"S{i:02d}", i, 2 + i / 1000) for i in range(5 * cores)]
+    root, raw = (f"file://{tmp_path}/{name}" for name in ("landing", "raw"))
+    landing.write_files(landing.tick_files(spark.createDataFrame(rows, TICKS)), root)
+    tasks = []
+
+    def land(batch, batch_id):
+        tasks.append(batch.rdd.getNumPartitions())
+        hours.land_batch(batch, batch_id, raw)
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a file each
+    try:
+        found = tickfiles.read_tick_files(spark, root)
+        assert found.rdd.getNumPartitions() <= cores
+        assert found.count() == len(rows)
+        stream = hours.hour_file_stream(spark, root, 4 * cores).writeStream.foreachBatch(land)
+        stream.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(tasks) == 2 and max(tasks) <= cores
+    landed = hours.read_streamed_ticks(spark, f"{raw}/ticks")
+    got = {(r.symbol, r.seq, round(r.ask, 3), r.ms) for r in landed.select("*", F.unix_millis("timestamp_utc").alias("ms")).collect()}
+    assert landed.count() == len(rows)
+    assert got == {(symbol, 0, ask, int(when.timestamp() * 1000)) for when, ask, _, _, _, symbol, _ in rows}

@@ -15,10 +15,20 @@ from tickbars.schemas import TICKS
 # The record layout and the path of a file.
 RECORD = [("delta_ms", ">u4"), ("ask", ">u4"), ("bid", ">u4"), ("ask_volume", ">f4"), ("bid_volume", ">f4")]
 PATH_PATTERN = r"([^/]+)/(\d{4})/(\d{2})/(\d{2})/(\d{2})h_ticks\.bi5$"
+SCAN_TASKS = 1000
 
 _RAW = "symbol STRING, hour_ms BIGINT, seq BIGINT, delta_ms BIGINT, ask BIGINT, bid BIGINT, ask_volume FLOAT, bid_volume FLOAT"
 
 
+def in_few_tasks(files: DataFrame) -> DataFrame:
+    """A scan of hour files in at most ``SCAN_TASKS`` tasks, or as many as there are cores.
+
+    Spark counts opening a file as 4 MB, so it makes a task for every few small files, however many
+    there are.  A task reads one file after the other and keeps none, so it may read many.
+    """
+    return files.coalesce(max(SCAN_TASKS, files.sparkSession.sparkContext.defaultParallelism))
+
+
 def read_tick_files(spark: SparkSession, paths) -> DataFrame:
     """The files under *paths* as ``(path, modificationTime, length, content)``.
 
@@ -26,7 +36,7 @@ def read_tick_files(spark: SparkSession, paths) -> DataFrame:
     that only they are listed.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*h_ticks.bi5")
-    return reader.option("recursiveFileLookup", "true").load(paths)
+    return in_few_tasks(reader.option("recursiveFileLookup", "true").load(paths))
 
 
 def tick_file_path(symbol: str, year: int, month: int, day: int, hour: int) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tickbars.schemas import TICKS, with_fields
 from tickbars.session import require_utc
 from tickbars.sources.bronze import manifest_of_counts
-from tickbars.sources.tickfiles import decode_ticks
+from tickbars.sources.tickfiles import decode_ticks, in_few_tasks
 
 FILES_PER_BATCH = 10_000
 FILE = T.StructType(
@@ -32,7 +32,7 @@ HOURS = "symbol STRING, hour TIMESTAMP, ticks BIGINT"
 def hour_file_stream(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """New hour files below *root*, at most *files_per_batch* at a time."""
     reader = spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", "*h_ticks.bi5")
-    return reader.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(root)
+    return in_few_tasks(reader.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(root))
 
 
 def land_batch(files: DataFrame, batch_id: int, raw_path: str) -> None:
