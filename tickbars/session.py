@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Each batch of hour files is listed by a job; its 10,000 tasks would cost more than the listing, and stay in the driver's memory.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "500",
 }
 
 
